@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-RAW_REVIEWS = _struct(
-    "app_id string, app_name string, review_id string, user_name string, rating int, "
-    "review_text string, thumbs_up bigint, app_version string, review_date timestamp_ntz, "
-    "reply_text string"
+RAW_REVIEWS = T.StructType(
+    [
+        T.StructField("app_id", T.StringType()),
+        T.StructField("app_name", T.StringType()),
+        T.StructField("review_id", T.StringType()),
+        T.StructField("user_name", T.StringType()),
+        T.StructField("rating", T.IntegerType()),
+        T.StructField("review_text", T.StringType()),
+        T.StructField("thumbs_up", T.LongType()),
+        T.StructField("app_version", T.StringType()),
+        T.StructField("review_date", T.TimestampNTZType()),
+        T.StructField("reply_text", T.StringType()),
+    ]
 )
 
 # Two rows with equal values here (null = null) are the same review.

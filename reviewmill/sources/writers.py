@@ -13,7 +13,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", sort_by: str | N
         df = df.sortWithinPartitions(sort_by)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"').option("emptyValue", "")
+        writer = writer.options(
+            header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     writer.format(fmt).save(path)
 
 

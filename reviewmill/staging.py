@@ -34,13 +34,15 @@ class Stage:
         self.root = f"{(root or shared_folder(spark)).rstrip('/')}/stage-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """A path that has not been used before."""
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
 
     def put(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write ``df`` as Parquet under ``name`` and return the table read back."""
+        """Write ``df`` as Parquet in a new folder and return the table read back."""
         schema, columns = df.schema, df.columns
+        path = self.path(name)
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(name))
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*columns)
+        writer.parquet(path)
+        return self.spark.read.schema(schema).parquet(path).select(*columns)
