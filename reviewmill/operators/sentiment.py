@@ -65,7 +65,7 @@ PLAIN_WORD = r"\p{Ll}|(^| )[^\p{Lu} ]+( |$)"
 
 # Splitting a text padded with blanks on a blank and the punctuation around it gives an empty
 # part, then one part per word without its outer punctuation, then another empty part.
-LOOSE_BLANK = r"(?:[!-/:-@\[-`{-~]+ | )[!-/:-@\[-`{-~]*"
+LOOSE_BLANK = r"\p{Punct}* \p{Punct}*"
 
 LOOK_BACK = 3
 UNITS = 1e9
