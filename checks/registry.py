@@ -441,7 +441,7 @@ on_workspace(
 on_star("w4_app_keys", lambda s: s.dim_app, "select app_key, app_id, app_name from dim_app")
 on_star("w4_version_keys", lambda s: s.dim_app_version, "select version_key, app_id, app_version, version_release_date from dim_app_version")
 TRAILING = (
-    "select d.app_name, e.month_name, round(avg(d.m), 4) as rolling_avg from "
+    "select d.app_name, e.month_name, round(round(avg(d.m), 7), 4) as rolling_avg from "
     "(select app_name, date_trunc('day', review_date)::timestamp as day, avg(rating) as m from tagged group by all) d join "
     "(select month_name, max(date) as e from dim_date group by all) e on d.day <= e.e and d.day > e.e - interval 3 month group by d.app_name, e.month_name"
 )
@@ -554,7 +554,13 @@ on_raw(
 )
 on_workspace("p1_clean_reviews", lambda w: w.cleaned.withColumn("review_text", F.md5("review_text")), CLEANED_MD5)
 on_star("p2_dim_date", lambda s: s.dim_date, "select * from dim_date")
-on_star("p2_dim_issue_category", lambda s: s.dim_issue_category, "select * from dim_issue_category")
+on_star(
+    "p2_dim_issue_category",
+    lambda s: s.fact_reviews.groupBy("issue_key").agg(count_rows().alias("review_count")).join(s.dim_issue_category, "issue_key", "right")
+    .select("issue_key", "issue_category", "issue_description", F.coalesce("review_count", F.lit(0)).alias("review_count")),
+    "select issue_key, i.issue_category, issue_description, count(t.review_id) as review_count from dim_issue_category i "
+    "left join tagged t on i.issue_category = t.issue_category group by all",
+)
 on_star(
     "p2_fact_reviews", lambda s: s.fact_reviews.select(*FACT_COLUMNS).withColumn("review_text", F.md5("review_text")),
     "select " + ", ".join(FACT_COLUMNS).replace("review_text,", "md5(review_text) as review_text,") + " from fact",

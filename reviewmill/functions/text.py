@@ -58,7 +58,8 @@ def issue_category(
     tagged = F.lit("none")
     for category, words in reversed(list(keywords)):
         hit = F.lit(False)
-        for word in words:
+        # A keyword that contains another one of its category can add nothing.
+        for word in [w for w in words if not any(o != w and o in w for o in words)]:
             hit = hit | F.contains(lowered, F.lit(word))
         tagged = F.when(hit, F.lit(category)).otherwise(tagged)
     return tagged

@@ -29,7 +29,8 @@ def trailing_months_mean(
 
     ``daily`` has group columns, ``day`` and ``day_mean``; ``month_ends`` has ``month_index``,
     ``month_name`` and ``month_end``. A day can only count towards its own month and the next
-    ``months``, so the range condition becomes an equality on the month number.
+    ``months``, so the range condition becomes an equality on the month number. The mean of
+    quotients is first settled to seven places, so that noise in its last bits cannot move a tie.
     """
     spread = daily.withColumn("_ahead", F.explode(F.sequence(F.lit(0), F.lit(months)))).withColumn(
         "month_index", F.year("day") * 12 + F.month("day") - 1 + F.col("_ahead")
@@ -41,7 +42,7 @@ def trailing_months_mean(
         spread.join(month_ends, "month_index")
         .filter(inside)
         .groupBy(*group, "month_index", "month_name")
-        .agg(round_half_away(exact_mean("day_mean"), digits).alias("rolling_avg"))
+        .agg(round_half_away(round_half_away(exact_mean("day_mean"), 7), digits).alias("rolling_avg"))
     )
 
 
