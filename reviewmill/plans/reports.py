@@ -154,14 +154,17 @@ def release_impact(star: Star, stage: Stage) -> DataFrame:
 
 
 def liked_complaints(star: Star, stage: Stage, k: int = 5, max_rating: int = 2) -> DataFrame:
-    """Most liked low-rated reviews per app by RANK, ties included."""
+    """Most liked low-rated reviews per app by RANK, ties included.
+
+    The date as last sort key lets the range sort spread a large tie over many tasks.
+    """
     low = star.fact_reviews.filter(F.col("rating") <= max_rating)
     return (
         top_ranked(low, ["app_key"], "thumbs_up", k, stage, "complaint_cutoffs")
         .join(star.dim_app, "app_key")
         .join(star.dim_issue_category, "issue_key")
         .select("app_name", "review_text", "rating", "thumbs_up", "issue_category", "review_date")
-        .orderBy("app_name", F.desc("thumbs_up"))
+        .orderBy("app_name", F.desc("thumbs_up"), "review_date")
     )
 
 
