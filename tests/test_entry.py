@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import __spark_entry__ as entry
+from checks.registry import ORACLES, QUERIES
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_flagship(spark):
