@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm.common import read_table
+from reviewmill.llm.mixing import cube_mix
+from reviewmill.llm.quality import score_quality
 from reviewmill.llm.simhash import simhash_classes
+from reviewmill.llm.toxicity import score_toxicity
 from reviewmill.staging import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +22,21 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_cube_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return cube_mix(read_table(spark, folder, "documents"), Stage(spark))
+
+
 @query
 def op2_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_classes(read_table(spark, folder, "documents"), Stage(spark), shingle_words=4, radius=4)
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
