@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm.common import read_table
 from reviewmill.llm.mixing import cube_mix
+from reviewmill.llm.pii import personal_spans
 from reviewmill.llm.quality import score_quality
 from reviewmill.llm.simhash import simhash_classes
 from reviewmill.llm.toxicity import score_toxicity
@@ -32,6 +33,11 @@ def op2_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_classes(read_table(spark, folder, "documents"), Stage(spark), shingle_words=4, radius=4)
 
 
+@query
+def op4_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_spans(read_table(spark, folder, "documents"), Stage(spark))
+
+
 @query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
