@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm.common import read_table
+from reviewmill.llm.decontaminate import benchmark_overlaps
 from reviewmill.llm.mixing import cube_mix
 from reviewmill.llm.pii import personal_spans
 from reviewmill.llm.quality import score_quality
@@ -38,6 +39,11 @@ def op4_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
     return personal_spans(read_table(spark, folder, "documents"), Stage(spark))
 
 
+@query
+def op5_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return benchmark_overlaps(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), Stage(spark))
+
+
 @query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
