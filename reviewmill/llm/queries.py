@@ -12,9 +12,20 @@ from reviewmill.llm.mixing import cube_mix
 from reviewmill.llm.pii import personal_spans
 from reviewmill.llm.quality import score_quality
 from reviewmill.llm.simhash import simhash_classes
+from reviewmill.llm.topk import top_products
 from reviewmill.llm.toxicity import score_toxicity
+from reviewmill.llm.urls import judge_urls, rule_table
 from reviewmill.staging import Stage
 
+# The rules of the contract (action, host, path).
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,6 +45,11 @@ def op2_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_classes(read_table(spark, folder, "documents"), Stage(spark), shingle_words=4, radius=4)
 
 
+@query
+def op3_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(read_table(spark, folder, "pages"), rule_table(spark, URL_RULES), Stage(spark))
+
+
 @query
 def op4_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
     return personal_spans(read_table(spark, folder, "documents"), Stage(spark))
@@ -44,6 +60,11 @@ def op5_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return benchmark_overlaps(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), Stage(spark))
 
 
+@query
+def op6_norm_sorted_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_products(read_table(spark, folder, "embeddings"), Stage(spark), every=50, k=5, factor=256)
+
+
 @query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
@@ -52,3 +73,57 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
+
+
+ORACLES["op6_norm_sorted_topk"] = """
+with usable as (
+  select vec_id, [cast(floor(256 * x::double) as bigint) for x in embedding] as v from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id as vec_id, cast(list_dot_product(q.v::double[], c.v::double[]) as bigint) as score
+  from usable q join usable c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+_RULE_ROWS = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
+_FITTING = (
+    "select {t}.{k} as k, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule, "
+    "arg_max(action, length(rule_host || rule_path)) as action from {t} join rules "
+    "on ({t}.host = rule_host or ends_with({t}.host, '.' || rule_host)) and starts_with({t}.path, rule_path) group by 1"
+)
+ORACLES["op3_url_verdicts"] = f"""
+with recursive rules(action, rule_host, rule_path) as (values {_RULE_ROWS}),
+named as (
+  select page_id, html, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+), parsed as (
+  select page_id, html, lower(regexp_extract(rest, '^[^/?#]*')) as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+    lower(regexp_extract(rest, '^[^/?#]*')) || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) as key from named
+), tags as (
+  select key, host, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?i)<(?:link|meta)\\s[^<>]*>')) as tag from parsed
+), links as (
+  select key, host, replace(case
+    when regexp_matches(tag, '(?i)^<link.*\\srel\\s*=\\s*[''"]?canonical') then regexp_extract(tag, '(?i)\\shref\\s*=\\s*[''"]?([^''"\\s>]+)', 1)
+    when regexp_matches(tag, '(?i)^<meta.*\\shttp-equiv\\s*=\\s*[''"]?refresh') then regexp_extract(tag, '(?i)url\\s*=\\s*[''"]?([^''"\\s>]+)', 1)
+    end, '&amp;', '&') as href from tags
+), edges as (
+  select key as a, case when contains(href, '://') then lower(regexp_extract(substr(href, strpos(href, '://') + 3), '^[^/?#]*'))
+    || regexp_extract(substr(href, strpos(href, '://') + 3), '^[^/?#]*([^#]*)', 1)
+    when starts_with(href, '/') then host || regexp_extract(href, '^[^#]*') end as b from links where href <> ''
+), pairs as (
+  select a, b from edges where b is not null and a <> b union select b, a from edges where b is not null and a <> b
+), reach(node, other) as (
+  select a, a from pairs union select r.node, e.b from reach r join pairs e on r.other = e.a
+), nodes as (
+  select distinct node, regexp_extract(node, '^[^/?#]*') as host, regexp_extract(node, '^[^/?#]*([^?#]*)', 1) as path from reach
+), node_rules as ({_FITTING.format(t="nodes", k="node")}
+), carried as (
+  select node, min(other) as alias_of, case when bool_or(action = 'allow') then 'allow' when bool_or(action = 'block') then 'block' end as verdict
+  from reach left join node_rules on other = k group by node
+), page_keys as (select distinct host || chr(0) || path as id, host, path from parsed
+), page_rules as ({_FITTING.format(t="page_keys", k="id")})
+select page_id, host, path, rule, coalesce(action, c.verdict, 'allow') as verdict, alias_of
+from parsed left join page_rules on host || chr(0) || path = k left join carried c on c.node = key
+"""
