@@ -15,6 +15,7 @@ from reviewmill.llm.simhash import simhash_classes
 from reviewmill.llm.topk import top_products
 from reviewmill.llm.toxicity import score_toxicity
 from reviewmill.llm.urls import judge_urls, rule_table
+from reviewmill.llm.warc import round_trip
 from reviewmill.staging import Stage
 
 # The rules of the contract (action, host, path).
@@ -70,6 +71,11 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
 
 
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(read_table(spark, folder, "pages"), Stage(spark))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
@@ -127,3 +133,17 @@ named as (
 select page_id, host, path, rule, coalesce(action, c.verdict, 'allow') as verdict, alias_of
 from parsed left join page_rules on host || chr(0) || path = k left join carried c on c.node = key
 """
+
+ORACLES["op8_warc"] = """
+with payloads as (
+  select page_id, encode(coalesce(html, '')) as payload from pages
+), digests as (
+  select page_id, cast(octet_length(payload) as bigint) as payload_bytes, sha256(payload) as payload_digest from payloads
+), firsts as (
+  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first from digests
+)
+select page_id, payload_bytes, payload_digest,
+  case when first <> page_id then 'revisit' else 'response' end as record_type,
+  case when first <> page_id then first end as refers_to
+from firsts
+"""
