@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm.common import read_table
 from reviewmill.llm.decontaminate import benchmark_overlaps
+from reviewmill.llm.html_text import extract_pages
 from reviewmill.llm.mixing import cube_mix
 from reviewmill.llm.pii import personal_spans
 from reviewmill.llm.quality import score_quality
@@ -76,6 +77,11 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(read_table(spark, folder, "pages"), Stage(spark))
 
 
+@query
+def op9_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(read_table(spark, folder, "pages"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
