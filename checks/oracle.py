@@ -32,10 +32,10 @@ def in_list(words) -> str:
     return "(" + ", ".join(quoted(w) for w in words) + ")"
 
 
-def issue_case(lowered: str) -> str:
+def issue_case(lowered: str, keywords=ISSUE_KEYWORDS) -> str:
     branches = " ".join(
         "when " + " or ".join(f"contains({lowered}, {quoted(w)})" for w in words) + f" then {quoted(category)}"
-        for category, words in ISSUE_KEYWORDS
+        for category, words in keywords
     )
     return f"case {branches} else 'none' end"
 
@@ -66,13 +66,13 @@ STRIPPED_WORDS = (
 )
 
 
-def sentiment_ctes(source: str, rules=S.RULES, prefix: str = "s_") -> dict[str, str]:
+def sentiment_ctes(source: str, rules=S.RULES, prefix: str = "s_", terms=dict(S.SAMPLE_LEXICON)) -> dict[str, str]:
     """CTEs ending in ``<prefix>score (review_id, sentiment_score)`` over ``source``."""
     p = prefix
-    known = {t for t, _ in S.SAMPLE_LEXICON}
+    known = set(terms)
     strong, weak = ([w for w in ws if w not in known] for ws in (S.STRENGTHENERS, S.WEAKENERS))
     negations = [w for w in S.NEGATIONS if w not in known]
-    lexicon = [(t, v) for t, v in S.SAMPLE_LEXICON if t not in S.STRENGTHENERS + S.WEAKENERS]
+    lexicon = [(t, v) for t, v in terms.items() if t not in S.STRENGTHENERS + S.WEAKENERS]
     ctes = {
         f"{p}lexicon": "select term, valence from (values "
         + ", ".join(f"({quoted(t)}, {v}::double)" for t, v in lexicon)

@@ -80,12 +80,13 @@ def _csv_round_trip(w: Workspace) -> DataFrame:
     path = _fresh(w, "raw_csv")
     writers.write_table(w.raw, path, "csv")
     raw = readers.read_raw_reviews(w.raw.sparkSession, path, na_values=("NA",) + X.NA_VALUES)
-    return raw.withColumn("review_text", F.md5("review_text"))
+    return raw.select(*RAW_REVIEWS.names).withColumn("review_text", F.md5("review_text"))
 
 
 def _app_batches(w: Workspace) -> DataFrame:
-    names = [r["app_name"] for r in w.star.dim_app.orderBy("app_key").collect()]
-    return readers.combine_batches([w.raw.filter(F.col("app_name") == n) for n in names])
+    folder = _fresh(w, "app_batches")
+    w.raw.write.partitionBy("app_name").parquet(folder)
+    return readers.read_app_folders(w.raw.sparkSession, folder)
 
 
 def _shaped(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,19 +109,28 @@ def _cleaned_round_trip(w: Workspace, fmt: str) -> DataFrame:
     path = _fresh(w, f"cleaned_{fmt}")
     writers.write_cleaned(w.cleaned, path, fmt)
     back = readers.read_cleaned(w.raw.sparkSession, path, w.cleaned.schema, fmt)
-    return back.withColumn("review_text", F.md5(F.coalesce("review_text", F.lit(""))))
+    return back.withColumn("review_text", F.md5("review_text"))
+
+
+def _compared(name: str, label: str, back: DataFrame, source: DataFrame) -> DataFrame:
+    """(label, row_count, differing): rows of the stored table, and rows that only one side has."""
+    back = back.select(*source.columns)
+    counts = [
+        back.select(F.lit(1).alias("row_count"), F.lit(0).alias("differing")),
+        back.exceptAll(source).select(F.lit(0).alias("row_count"), F.lit(1).alias("differing")),
+        source.exceptAll(back).select(F.lit(0).alias("row_count"), F.lit(1).alias("differing")),
+    ]
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("row_count", "differing")]
+    return readers.combine_batches(counts).agg(*sums).select(F.lit(name).alias(label), "row_count", "differing")
 
 
 def _exported(w: Workspace, fmt: str) -> DataFrame:
     folder = _fresh(w, f"star_{fmt}")
     names = writers.export_star(w.star, folder, fmt)
     spark = w.raw.sparkSession
-    schemas = {n: df.schema for n, df in w.star.tables().items()}
+    tables = w.star.tables()
     parts = [
-        readers.read_cleaned(spark, f"{folder}/{n}", schemas[n], fmt).agg(count_rows().alias("row_count")).select(
-            F.lit(n).alias("table_name"), "row_count"
-        )
-        for n in names
+        _compared(n, "table_name", readers.read_cleaned(spark, f"{folder}/{n}", tables[n].schema, fmt), tables[n]) for n in names
     ]
     return readers.combine_batches(parts)
 
@@ -129,17 +139,14 @@ def _report_files(w: Workspace) -> DataFrame:
     folder = _fresh(w, "reports")
     outcome = R.run_reports(w.star, folder, w.stage)
     spark = w.raw.sparkSession
-    parts = [
-        spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{folder}/{n}")
-        .agg(count_rows().alias("row_count")).select(F.lit(n).alias("report"), "row_count")
-        for n, error in outcome.items() if error is None
-    ]
+    made = {n: R.REPORTS[n](w.star, w.stage) for n, error in outcome.items() if error is None}
+    parts = [_compared(n, "report", readers.read_csv(spark, f"{folder}/{n}", df.schema), df) for n, df in made.items()]
     return readers.combine_batches(parts)
 
 
 def _sizes(names_to_sql: dict[str, str], label: str) -> str:
     return " union all ".join(
-        f"select '{n}' as {label}, count(*) as row_count from ({sql}) t{i}" for i, (n, sql) in enumerate(names_to_sql.items())
+        f"select '{n}' as {label}, count(*) as row_count, 0::bigint as differing from ({sql}) t{i}" for i, (n, sql) in enumerate(names_to_sql.items())
     )
 
 
@@ -295,11 +302,28 @@ def _scored(rules) -> Callable[[Workspace], DataFrame]:
 
 def _scored_by_join(w: Workspace) -> DataFrame:
     docs = w.cleaned.select("review_id", "review_text")
-    return S.score_by_join(docs, "review_id", "review_text", S.sample_lexicon(docs.sparkSession)).filter("sentiment_score <> 0")
+    scores = S.score_by_join(docs, "review_id", "review_text", S.sample_lexicon(docs.sparkSession))
+    return S.with_all(docs.select("review_id"), scores, "review_id")
+
+
+# Repeated terms: the line further down wins, here the one with the larger valence.
+REPEATED = (("good", 1.5), ("good", 1.9), ("bad", -3.0), ("bad", -2.5), ("great", 3.1), ("worst", -3.1), ("slow", -1.1))
+
+
+def _repeated_terms(w: Workspace) -> DataFrame:
+    docs = w.cleaned.select("review_id", "review_text")
+    lexicon = docs.sparkSession.createDataFrame(list(REPEATED), "term string, valence double")
+    inside = S.with_sentiment(docs, "review_id", "review_text", lexicon).select("review_id", F.col("sentiment_score").alias("in_place"))
+    joined = S.with_all(docs.select("review_id"), S.score_by_join(docs, "review_id", "review_text", lexicon), "review_id")
+    return inside.join(joined.withColumnRenamed("sentiment_score", "by_join"), "review_id")
 
 
 on_workspace("n1_sentiment", _scored(S.RULES), "select review_id, sentiment_score from s_score")
-on_workspace("n1_sentiment_by_join", _scored_by_join, "select review_id, sentiment_score from s_score where sentiment_score <> 0")
+on_workspace("n1_sentiment_by_join", _scored_by_join, "select review_id, sentiment_score from s_score")
+on_workspace(
+    "n1_repeated_terms", _repeated_terms, "select review_id, sentiment_score as in_place, sentiment_score as by_join from repeated_score",
+    O.sentiment_ctes("trimmed", S.RULES, "repeated_", dict(REPEATED)),
+)
 for _rule in ((), ("capitals",), ("degree",), ("negation",), ("but",), ("punctuation",)):
     _name = _rule[0] if _rule else "plain"
     on_workspace(
@@ -319,8 +343,8 @@ on_star(
 on_star(
     "j5_issue_with_total",
     lambda s: R.issue_frequency(s, None).select("app_name", "issue_category", "issue_review_count", "total_reviews"),
-    "select i.app_name, issue_category, n as issue_review_count, t.total_reviews from (select app_name, issue_category, count(*) as n from tagged group by all) i "
-    "join (select app_name, count(*) as total_reviews from tagged group by all) t on i.app_name = t.app_name where issue_category <> 'none'",
+    "select i.app_name, issue_category, n as issue_review_count, t.total_reviews from (select app_id, app_name, issue_category, count(*) as n from tagged group by all) i "
+    "join (select app_id, count(*) as total_reviews from tagged group by all) t on i.app_id = t.app_id where issue_category <> 'none'",
 )
 WINDOWED = (
     "select a.app_name, v.version_key, v.app_version, v.version_release_date, f.rating, f.sentiment_score, "
@@ -370,7 +394,7 @@ on_star(
     "select app_name, " + ", ".join(
         f"round(100.0::double * count(*) filter ({c}) / count(*), 1) as {a}"
         for c, a in (("sentiment_label = 'positive'", "pct_positive"), ("sentiment_label = 'negative'", "pct_negative"), ("has_developer_reply = 1", "developer_reply_rate"))
-    ) + " from cleaned group by all",
+    ) + " from fact f join dim_app a on f.app_key = a.app_key group by a.app_key, app_name",
 )
 on_cleaned("a4_conditional_count", lambda c: c.groupBy("app_name").agg(F.count_if(F.col("issue_category") != "none").alias("n")),
            "select app_name, count(*) filter (issue_category <> 'none') as n from tagged group by all")
@@ -381,8 +405,8 @@ on_star("a6_group_by_key_and_name", lambda s: s.fact_reviews.groupBy("app_key").
 on_cleaned("a7_having", lambda c: c.groupBy("app_name", "app_version").agg(count_rows().alias("n")).filter(F.col("n") >= 110),
            "select app_name, app_version, count(*) as n from tagged group by all having count(*) >= 110")
 on_star("a8_share_of_total", lambda s: R.issue_frequency(s, None).select("app_name", "issue_category", "pct_of_app_reviews"),
-        "select app_name, issue_category, round(100.0::double * n / sum(n) over (partition by app_name), 1) as pct_of_app_reviews from "
-        "(select app_name, issue_category, count(*) as n from tagged group by all) qualify issue_category <> 'none'")
+        "select app_name, issue_category, round(100.0::double * n / sum(n) over (partition by app_id), 1) as pct_of_app_reviews from "
+        "(select app_id, app_name, issue_category, count(*) as n from tagged group by all) qualify issue_category <> 'none'")
 on_cleaned("a9_distinct_count", lambda c: c.agg(F.countDistinct("app_name").alias("apps"), F.countDistinct("app_version").alias("versions")),
            "select count(distinct app_name) as apps, count(distinct app_version) as versions from tagged")
 on_star("a10_global_averages", lambda s: M.sums_by(s, []).select(F.col("n").alias("total"), M.avg_rating().alias("avg_rating"), M.avg_sentiment().alias("avg_sentiment")),
@@ -476,21 +500,30 @@ on_cleaned("s5_distinct_sorted", lambda c: c.select("app_name").distinct().order
 
 # --- reports --------------------------------------------------------------------------------------
 
+KEYED_HEALTH = (
+    "select app_name, app_version, version_release_date, review_count, avg_rating, avg_sentiment, "
+    f"round(avg_rating - {LAG.format(c='avg_rating')}, 2) as rating_change_vs_prev, round(avg_sentiment - {LAG.format(c='avg_sentiment')}, 3) as sentiment_change_vs_prev "
+    f"from (select a.app_name, v.app_version, v.version_release_date, count(*) as review_count, {O.RATING} as avg_rating, {O.SENTIMENT} as avg_sentiment "
+    "from fact f join dim_app a on f.app_key = a.app_key join dim_app_version v on f.version_key = v.version_key "
+    "group by a.app_key, a.app_name, v.version_key, v.app_version, v.version_release_date)"
+)
 REPORT_SQL = {
-    "q1_app_ranking": f"select app_name, count(*) as review_count, {O.RATING} as avg_rating, {O.SENTIMENT} as avg_sentiment, "
+    "q1_app_ranking": f"select a.app_name, count(*) as review_count, {O.RATING} as avg_rating, {O.SENTIMENT} as avg_sentiment, "
     "round(100.0::double * count(*) filter (sentiment_label = 'positive') / count(*), 1) as pct_positive, "
     "round(100.0::double * count(*) filter (sentiment_label = 'negative') / count(*), 1) as pct_negative, "
-    "round(100.0::double * count(*) filter (has_developer_reply = 1) / count(*), 1) as developer_reply_rate from cleaned group by all",
-    "q2_version_health": HEALTH,
+    "round(100.0::double * count(*) filter (has_developer_reply = 1) / count(*), 1) as developer_reply_rate from fact f join dim_app a on f.app_key = a.app_key group by a.app_key, a.app_name",
+    "q2_version_health": KEYED_HEALTH,
     "q3_issue_frequency": "select app_name, issue_category, n as issue_review_count, cast(t as bigint) as total_reviews, round(100.0::double * n / t, 1) as pct_of_app_reviews "
-    "from (select *, sum(n) over (partition by app_name) as t from (select app_name, issue_category, count(*) as n from tagged group by all)) where issue_category <> 'none'",
+    "from (select *, sum(n) over (partition by app_key) as t from (select a.app_key, a.app_name, i.issue_category, count(*) as n from fact f join dim_app a on f.app_key = a.app_key "
+    "join dim_issue_category i on f.issue_key = i.issue_key group by a.app_key, a.app_name, i.issue_category)) where issue_category <> 'none'",
     "q4_monthly_trend": f"select app_name, month_name, review_count, avg_rating, avg_sentiment, {ROLLING} as rolling_3mo_avg_rating from ({MONTHLY})",
     "q5_release_impact": IMPACT + "select pre.app_name, pre.app_version, pre.version_release_date, pre.n as pre_review_count, pre.r as pre_avg_rating, pre.s as pre_avg_sentiment, "
     "post.n as post_review_count, post.r as post_avg_rating, post.s as post_avg_sentiment, round(post.r - pre.r, 2) as rating_delta, round(post.s - pre.s, 3) as sentiment_delta "
     "from g pre join g post on pre.version_key = post.version_key and pre.window_label = 'pre_release_14d' and post.window_label = 'post_release_14d'",
     "q6_liked_complaints": "select app_name, review_text, rating, thumbs_up, issue_category, review_date from tagged where rating <= 2 "
     "qualify rank() over (partition by app_id order by thumbs_up desc) <= 5",
-    "q7_reply_split": f"select app_name, has_developer_reply, count(*) as review_count, {O.RATING} as avg_rating, {O.SENTIMENT} as avg_sentiment from cleaned group by all",
+    "q7_reply_split": f"select a.app_name, has_developer_reply, count(*) as review_count, {O.RATING} as avg_rating, {O.SENTIMENT} as avg_sentiment "
+    "from fact f join dim_app a on f.app_key = a.app_key group by a.app_key, a.app_name, has_developer_reply",
     "q8_worst_versions": f"select app_name, app_version, version_release_date, count(*) as review_count, {O.RATING} as avg_rating, {O.SENTIMENT} as avg_sentiment, "
     "round(100.0::double * count(*) filter (sentiment_label = 'negative') / count(*), 1) as pct_negative, count(*) filter (issue_category <> 'none') as issue_review_count "
     "from cleaned group by all having count(*) >= 10 order by avg_rating, pct_negative desc, app_name, app_version nulls first limit 20",
@@ -526,6 +559,12 @@ MEASURES = (
     "round(count(*) filter (has_developer_reply = 1) / count(*)::double, 4) as developer_reply_rate"
 )
 on_star("b1_measures", lambda s: M.measures(s, ["app_name", "issue_category"]), f"select app_name, issue_category, {MEASURES} from cleaned group by all")
+on_star("b1_measures_by_year", lambda s: M.measures(s, ["year", "issue_description"]),
+        f"select d.year, i.issue_description, {MEASURES} from fact f join dim_date d on f.date_key = d.date_key "
+        "join dim_issue_category i on f.issue_key = i.issue_key group by all")
+on_star("b1_measures_by_week", lambda s: M.measures(s, ["app_name", "week_start", "month"]),
+        f"select a.app_name, d.week_start, d.month, {MEASURES} from fact f join dim_date d on f.date_key = d.date_key "
+        "join dim_app a on f.app_key = a.app_key group by all")
 on_star("b1_measures_total", lambda s: M.measures(s), f"select {MEASURES} from cleaned")
 on_star(
     "b2_rating_trend", M.rating_trend,
@@ -561,6 +600,23 @@ on_star(
     "select issue_key, i.issue_category, issue_description, count(t.review_id) as review_count from dim_issue_category i "
     "left join tagged t on i.issue_category = t.issue_category group by all",
 )
+OWN_KEYWORDS = (("love", ("love", "enjoy")), *X.ISSUE_KEYWORDS)
+
+
+def _own_categories(w: Workspace) -> DataFrame:
+    """Reports over a star with a category of the user's own: no review gets lost."""
+    retagged = w.cleaned.withColumn("issue_category", X.issue_category(F.lower("review_text"), OWN_KEYWORDS))
+    star = ST.build_star(retagged, w.stage, OWN_KEYWORDS)
+    return R.issue_frequency(star, w.stage)
+
+
+OWN_CASE = O.issue_case("lower(review_text)", OWN_KEYWORDS)
+on_workspace(
+    "p2_own_issue_categories", _own_categories,
+    "select app_name, issue_category, n as issue_review_count, cast(t as bigint) as total_reviews, round(100.0::double * n / t, 1) as pct_of_app_reviews "
+    f"from (select *, sum(n) over (partition by app_id) as t from (select app_id, app_name, {OWN_CASE} as issue_category, count(*) as n from tagged group by all)) "
+    "where issue_category <> 'none'",
+)
 on_star(
     "p2_fact_reviews", lambda s: s.fact_reviews.select(*FACT_COLUMNS).withColumn("review_text", F.md5("review_text")),
     "select " + ", ".join(FACT_COLUMNS).replace("review_text,", "md5(review_text) as review_text,") + " from fact",

@@ -13,7 +13,7 @@ def round_half_away(value: Column, digits: int) -> Column:
     """
     scale = float(10**digits)
     magnitude = F.floor(F.abs(value) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-    return F.when(value < 0, -magnitude).otherwise(magnitude)
+    return F.when(value < 0, -magnitude).otherwise(magnitude) + F.lit(0.0)  # no negative zero
 
 
 def exact_score_sum(score: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.schemas import DEDUP_KEYS
+from reviewmill.schemas import DEDUP_KEYS, INGEST_ORDER
 
 REVIEW_KEY = "review_key"
 
@@ -25,6 +25,12 @@ def review_key(keys: Sequence[str] = DEDUP_KEYS) -> Column:
     return F.unhex(F.sha2(F.concat(*[framed(k) for k in keys]), 256))
 
 
+def copy_order(raw: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order_by: Sequence[str] | None = None) -> list[str]:
+    """Columns that order the copies of a review."""
+    ordered = list(order_by or [c for c in INGEST_ORDER if c in raw.columns])
+    return ordered + [c for c in raw.columns if c not in ordered and c not in keys]
+
+
 def keep_first(
     raw: DataFrame,
     keys: Sequence[str] = DEDUP_KEYS,
@@ -32,12 +38,13 @@ def keep_first(
 ) -> DataFrame:
     """One row per review: the first by ``order_by``, ties broken by every other column.
 
+    Without ``order_by`` rows that carry their ``INGEST_ORDER`` are taken in file order.
+
     Adds ``review_key``; the result is hash-partitioned on it, which later steps rely on.
     ``row_number() = 1`` lets Spark drop surplus copies before the shuffle (a group limit on
     the map side), so a review copied a billion times sends one row per map task.
     """
-    ordered = list(order_by or [])
-    ordered += [c for c in raw.columns if c not in ordered and c not in keys]
+    ordered = list(copy_order(raw, keys, order_by))
     # The identity columns are constant inside a group. Listing them keeps every column alive
     # below the window, so plans that read this result twice share a single shuffle.
     ordered += [k for k in keys if k not in ordered]

@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 from reviewmill.operators.joins import broadcast_if_small
 from reviewmill.staging import Stage
 
+# monotonically_increasing_id keeps the place inside the partition in its lower bits.
+PLACE_BITS = 33
+
 
 def dense_keys(table: DataFrame, key: str, order: Sequence[Column], stage: Stage, name: str) -> DataFrame:
     """Number the rows of ``table`` by ``order`` (which must be total).
 
-    Rows are range-partitioned, numbered inside their range and stored; a second pass adds
-    the number of rows in earlier ranges. Only one count per range meets in a single task.
+    Rows are range-partitioned once, sorted and stored with an id that holds the partition and the
+    place inside it; a second pass adds the number of rows in earlier ranges. Only one count
+    per range meets in a single task.
     """
-    slot = Window.partitionBy("_range").orderBy(*order)
-    ranged = (
-        table.repartitionByRange(*order)
-        .withColumn("_range", F.spark_partition_id())
-        .withColumn("_slot", F.row_number().over(slot))
+    ranged = table.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    stored = stage.put(ranged, f"{name}_ranges").withColumns(
+        {"_range": F.shiftright("_id", PLACE_BITS), "_slot": F.col("_id").bitwiseAND((1 << PLACE_BITS) - 1) + 1}
     )
-    stored = stage.put(ranged, f"{name}_ranges")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")).select(
         "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")

@@ -60,7 +60,7 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 # A word is in capitals when it has an upper-case and no lower-case letter. The first pattern
 # finds such a word in a blank-separated text, the second one any other word.
-CAPS_WORD = r"(^| )[^\p{Ll} ]*\p{Lu}[^\p{Ll} ]*( |$)"
+CAPS_WORD = r"(^| )[^\p{Ll}\p{Lu} ]*\p{Lu}[^\p{Ll} ]*( |$)"
 PLAIN_WORD = r"\p{Ll}|(^| )[^\p{Lu} ]+( |$)"
 
 # Splitting a text padded with blanks on a blank and the punctuation around it gives an empty
@@ -75,7 +75,8 @@ IN_PLACE_TERMS = 50_000
 IN_PLACE_VALENCES = 500
 
 
-# A small lexicon of our own, for tests and demonstrations; not a published one.
+# A small lexicon for tests and demonstrations: everyday terms with the valences of the public
+# VADER lexicon (MIT licence). Fixed values.
 SAMPLE_LEXICON: tuple[tuple[str, float], ...] = (
     ("amazing", 2.8), ("annoying", -1.7), ("awesome", 3.1), ("awful", -2.0), ("bad", -2.5),
     ("best", 3.2), ("boring", -1.3), ("broken", -2.1), ("bug", -1.2), ("confusing", -0.9),
@@ -98,12 +99,22 @@ def sample_lexicon(spark: SparkSession) -> DataFrame:
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """A tab-separated lexicon file: term, mean valence, then columns that are ignored."""
+    """A tab-separated lexicon file: term, mean valence, then columns that are ignored.
+
+    ``line`` is the place in the file; of repeated terms the last line counts.
+    """
     lines = spark.read.schema("line string").text(path)
     parts = F.split("line", "\t")
-    return lines.select(
-        F.get(parts, 0).alias("term"), F.get(parts, 1).try_cast("double").alias("valence")
-    ).filter("term is not null and valence is not null")
+    terms = lines.select(
+        F.get(parts, 0).alias("term"), F.get(parts, 1).try_cast("double").alias("valence"), F.monotonically_increasing_id().alias("line")
+    )
+    return terms.filter("term is not null and valence is not null")
+
+
+def settled(lexicon: DataFrame) -> DataFrame:
+    """(term, valence), one row per term: the last ``line``, or the largest valence where there are none."""
+    place = F.struct("line", "valence") if "line" in lexicon.columns else F.col("valence")
+    return lexicon.groupBy("term").agg(F.max_by("valence", place).alias("valence"))
 
 
 def bare_word(token: Column) -> Column:
@@ -236,10 +247,16 @@ def modifiers_in(lexicon: DataFrame) -> list[str]:
     return sorted(r["term"] for r in found.collect())
 
 
+def _quoted(words: Sequence[str]) -> str:
+    """A list of texts as SQL literals."""
+    return ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+
+
 # --- plan 1: short lexicon, inside the row --------------------------------------------------------
 
 def short_lexicon(lexicon: DataFrame) -> dict[float, list[str]] | None:
-    """Terms by valence when the lexicon is within the in-place limits, else None."""
+    """Terms by valence when the settled lexicon is within the in-place limits, else None."""
+    lexicon = settled(lexicon)
     size = lexicon.agg(F.count("term").alias("terms"), F.countDistinct("valence").alias("valences")).first()
     if size["terms"] > IN_PLACE_TERMS or size["valences"] > IN_PLACE_VALENCES:
         return None
@@ -262,18 +279,19 @@ def score_in_place(
     short = [t for t in every if len(t.strip(PUNCTUATION)) <= 2]
     long = [t for t in every if len(t.strip(PUNCTUATION)) > 2]
     words, bare, found = F.col("_words"), F.col("_bare"), F.col("_found")
-
-    def position(word: Column, at: Column) -> Column:
-        as_written = F.lower(F.get(words, at - 1))
-        return F.when(word.isin(*long), at - 1).when(
-            (F.length(word) <= 2) & as_written.isin(*short), at - 1
-        )
-
-    def with_valence(near: Column) -> Column:
-        valence = F.lit(None).cast("double")
-        for worth, names in terms.items():
-            valence = F.when(F.lower(near["bare"]).isin(*names), F.lit(worth)).otherwise(valence)
-        return F.struct(near.alias("near"), valence.alias("value"))
+    # Word lists go into the plan as one SQL text each; as literals one by one they would take the
+    # driver longer than the job. A list of over ten texts is a hash set at run time.
+    position = F.expr(
+        "array_compact(transform(_bare, (word, place) -> case "
+        + (f"when word in ({_quoted(long)}) then place - 1 " if long else "")
+        + (f"when length(word) <= 2 and lower(get(_words, place - 1)) in ({_quoted(short)}) then place - 1 " if short else "")
+        + "when false then 0 end))"
+    )
+    valence = F.expr(
+        "transform(_terms, term -> cast(case "
+        + "".join(f"when term in ({_quoted(names)}) then {worth!r}D " for worth, names in terms.items())
+        + "when false then 0D end as double))"
+    )
 
     def contribution(total: Column, seen: Column) -> Column:
         def hit(field: str) -> Column:
@@ -283,18 +301,21 @@ def score_in_place(
 
         return total + _whole_units(hit_value(hit, rules, inert))
 
-    seen = F.transform(F.transform(found, _neighbourhood(words)), with_valence)
+    seen = F.zip_with("_near", "_values", lambda near, value: F.struct(near.alias("near"), value.alias("value")))
     units = F.aggregate(seen, F.lit(0).cast("bigint"), contribution)
     has_hits = F.size(found) > 0
     return (
         docs.withColumn("_words", F.split(F.col(text), " "))
         .withColumn("_bare", bare_words(F.lower(F.col(text))))
-        .withColumn("_found", F.array_compact(F.transform(bare, position)))
+        .withColumn("_found", position)
+        .withColumn("_near", F.transform(found, _neighbourhood(words)))
+        .withColumn("_terms", F.transform("_near", lambda near: F.lower(near["bare"])))
+        .withColumn("_values", valence)
         .withColumn("_mixed", F.when(has_hits, mixes_capitals(F.col(text))))
         .withColumn("_but_at", F.when(has_hits, but_position(bare)))
         .withColumn("_units", F.when(has_hits, units).otherwise(F.lit(0)))
         .withColumn("sentiment_score", compound(F.col("_units"), punctuation_emphasis(F.col(text)), rules))
-        .drop("_words", "_bare", "_found", "_mixed", "_but_at", "_units")
+        .drop("_words", "_bare", "_found", "_near", "_terms", "_values", "_mixed", "_but_at", "_units")
     )
 
 
@@ -320,7 +341,8 @@ def lexicon_hits(docs: DataFrame, key: str, text: str, lexicon: DataFrame) -> Da
         .select(key, "emphasis", "mixed", "but_at", "near.*")
         .withColumn("term", F.lower("bare"))
     )
-    return near.join(broadcast_if_small(scoring_terms(lexicon)), "term").withColumnRenamed("valence", "value")
+    terms = scoring_terms(settled(lexicon))
+    return near.join(broadcast_if_small(terms), "term").withColumnRenamed("valence", "value")
 
 
 def score_by_join(
@@ -335,6 +357,11 @@ def score_by_join(
     return totals.select(key, score.alias("sentiment_score"))
 
 
+def with_all(docs: DataFrame, scores: DataFrame, key: str) -> DataFrame:
+    """``docs`` with their scores, 0 where there is none."""
+    return docs.join(scores, key, "left").withColumn("sentiment_score", F.coalesce(F.col("sentiment_score"), F.lit(0.0)))
+
+
 def with_sentiment(
     docs: DataFrame, key: str, text: str, lexicon: DataFrame, rules: Sequence[str] = RULES
 ) -> DataFrame:
@@ -342,7 +369,4 @@ def with_sentiment(
     terms = short_lexicon(lexicon)
     if terms is not None:
         return score_in_place(docs, text, terms, rules, modifiers_in(lexicon))
-    scores = score_by_join(docs, key, text, lexicon, rules)
-    return docs.join(scores, key, "left").withColumn(
-        "sentiment_score", F.coalesce(F.col("sentiment_score"), F.lit(0.0))
-    )
+    return with_all(docs, score_by_join(docs, key, text, lexicon, rules), key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.operators.dedup import keep_first
+from reviewmill.operators.dedup import copy_order, review_key
 from reviewmill.plans.star import Star
 
 
@@ -19,27 +19,41 @@ def _row(df: DataFrame, step: str, detail: str) -> DataFrame:
     )
 
 
+def dedup_counts(raw: DataFrame) -> DataFrame:
+    """(rows_in, after_dedup, after_null_drop) without moving a text.
+
+    The text is part of a review's key, so only the key, whether the text is missing and the rating of
+    the first copy have to meet; copies combine on the map side.
+    """
+    order = F.struct(*copy_order(raw))
+    reviews = raw.select(
+        review_key().alias("key"), F.col("review_text").isNull().alias("no_text"), F.col("rating").isNull().alias("no_rating"), order.alias("place")
+    ).groupBy("key").agg(
+        F.count(F.lit(1)).alias("copies"), F.min_by(F.col("no_rating"), "place").alias("no_rating"), F.max("no_text").alias("no_text")
+    )
+    return reviews.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_in"),
+        F.count(F.lit(1)).alias("after_dedup"),
+        F.count_if(~F.col("no_text") & ~F.col("no_rating")).alias("after_null_drop"),
+    )
+
+
 def cleaning_counts(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    usable = F.col("review_text").isNotNull() & F.col("rating").isNotNull()
-    kept = keep_first(raw).agg(
-        F.count(F.lit(1)).alias("after_dedup"), F.count_if(usable).alias("after_null_drop")
+    """One pass over each table: the counts of both value columns come from their combinations."""
+    steps = ("rows_in", "after_dedup", "after_null_drop")
+    counted = dedup_counts(raw).select(
+        F.inline(F.array(*[F.struct(F.lit("clean").alias("step"), F.lit(c).alias("detail"), F.col(c).alias("row_count")) for c in steps]))
     )
-    counted = kept.select(
+    cells = cleaned.groupBy("issue_category", "sentiment_label").agg(F.count(F.lit(1)).alias("n"))
+    split = cells.select(
         F.inline(
-            F.array(*[
-                F.struct(F.lit("clean").alias("step"), F.lit(c).alias("detail"), F.col(c).alias("row_count"))
-                for c in ("after_dedup", "after_null_drop")
-            ])
+            F.array(
+                F.struct(F.lit("clean").alias("step"), F.lit("final").alias("detail"), F.col("n")),
+                *[F.struct(F.lit(c).alias("step"), F.col(c).alias("detail"), F.col("n")) for c in ("issue_category", "sentiment_label")],
+            )
         )
     )
-    per_value = [
-        value_counts(cleaned, c).select(F.lit(c).alias("step"), F.col(c).alias("detail"), "row_count")
-        for c in ("issue_category", "sentiment_label")
-    ]
-    table = _row(raw, "clean", "rows_in").unionByName(counted).unionByName(_row(cleaned, "clean", "final"))
-    for part in per_value:
-        table = table.unionByName(part)
-    return table
+    return counted.unionByName(split.groupBy("step", "detail").agg(F.sum("n").alias("row_count")))
 
 
 def star_counts(star: Star) -> DataFrame:

@@ -92,7 +92,8 @@ def clean_reviews(
     """``reviews_cleaned``: one row per usable review.
 
     The release date of a version is its first review, so the reviews are needed twice. They
-    are stored once in between; the second pass reads three columns of the stored table.
+    are stored once in between; the result reads that table and attaches the three release columns,
+    so there is no need to store it again.
     """
     stage = stage or Stage(raw.sparkSession)
     scored = stage.put(score_reviews(raw, lexicon, order_by, keywords, rules), "scored_reviews")

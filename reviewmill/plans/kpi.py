@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions import numbers as N
 from reviewmill.staging import Stage
 
+# Issue columns of the summary.
 ISSUES = ("crash", "login", "payment", "ui", "performance")
 
 
-def app_summary(cleaned: DataFrame) -> DataFrame:
+def app_summary(cleaned: DataFrame, categories: Sequence[str] = ISSUES) -> DataFrame:
     """Reviews, averages, sentiment fractions and issue counts per app, in one aggregate."""
     def fraction(label: str):
         hits = F.sum((F.col("sentiment_label") == label).cast("int"))
         return N.round_half_away(hits / F.count(F.lit(1)), 4)
 
-    issues = [F.sum((F.col("issue_category") == i).cast("int")).alias(i) for i in ISSUES]
+    issues = [F.sum((F.col("issue_category") == i).cast("int")).alias(i) for i in categories]
     return (
         cleaned.filter(F.col("app_name").isNotNull())
         .groupBy("app_name")

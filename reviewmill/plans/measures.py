@@ -20,6 +20,10 @@ DIMENSION_OF = {
     "app_version": ("dim_app_version", "version_key"),
     "version_release_date": ("dim_app_version", "version_key"),
     "issue_category": ("dim_issue_category", "issue_key"),
+    "issue_description": ("dim_issue_category", "issue_key"),
+    "year": ("dim_date", "date_key"),
+    "month": ("dim_date", "date_key"),
+    "week_start": ("dim_date", "date_key"),
     "month_name": ("dim_date", "date_key"),
     "quarter": ("dim_date", "date_key"),
     "date": ("dim_date", "date_key"),
@@ -178,8 +182,8 @@ def version_averages(star: Star) -> DataFrame:
 
 
 def issue_matrix(star: Star) -> DataFrame:
-    """Apps by issue category, all six categories, 0 where none."""
-    names = ["crash", "login", "payment", "ui", "performance", "none"]
+    """Apps by issue category, all categories of the dimension, 0 where none."""
+    names = [r["issue_category"] for r in star.dim_issue_category.orderBy("issue_key").collect()]  # the keyword table's
     counts = sums_by(star, ["app_name", "issue_category"])
     return counts.groupBy("app_name").pivot("issue_category", names).agg(F.sum("n")).na.fill(0, names)
 

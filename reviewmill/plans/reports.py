@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import dates as D
 from reviewmill.functions import numbers as N
+from reviewmill.operators.joins import broadcast_if_small
 from reviewmill.operators.ranking import top_ranked
 from reviewmill.operators.windows import change_vs_previous, rolling_rows_mean
 from reviewmill.plans.measures import avg_rating, avg_sentiment, sums_by
@@ -19,7 +20,7 @@ from reviewmill.staging import Stage
 
 def app_ranking(star: Star, stage: Stage) -> DataFrame:
     return (
-        sums_by(star, ["app_name"])
+        sums_by(star, ["app_key", "app_name"])
         .select(
             "app_name",
             F.col("n").alias("review_count"),
@@ -36,34 +37,42 @@ def app_ranking(star: Star, stage: Stage) -> DataFrame:
 def version_health(star: Star, stage: Stage) -> DataFrame:
     """Versions against the one released before in the same app; null dates come first."""
     by = ["app_name", "app_version", "version_release_date"]
-    stats = sums_by(star, by).select(
+    stats = sums_by(star, ["app_key", "version_key", *by]).select(
+        "app_key",
+        "version_key",
         *by,
         F.col("n").alias("review_count"),
         avg_rating().alias("avg_rating"),
         avg_sentiment().alias("avg_sentiment"),
     )
-    order = [F.col("version_release_date").asc_nulls_first(), F.col("app_version").asc_nulls_first()]
-    return stats.withColumns(
-        {
-            "rating_change_vs_prev": change_vs_previous("avg_rating", ["app_name"], order, 2),
-            "sentiment_change_vs_prev": change_vs_previous("avg_sentiment", ["app_name"], order, 3),
-        }
-    ).orderBy("app_name", *order)
+    order = [F.col(c).asc_nulls_first() for c in ("version_release_date", "app_version", "version_key")]
+    return (
+        stats.withColumns(
+            {
+                "rating_change_vs_prev": change_vs_previous("avg_rating", ["app_name"], order, 2),
+                "sentiment_change_vs_prev": change_vs_previous("avg_sentiment", ["app_name"], order, 3),
+            }
+        )
+        .orderBy("app_name", *order)
+        .drop("app_key", "version_key")
+    )
 
 
 def issue_frequency(star: Star, stage: Stage) -> DataFrame:
-    """Issue counts with the app total as a window over at most six rows per app."""
-    counts = sums_by(star, ["app_name", "issue_category"]).select(
+    """Issue counts with the app total as a window over one row per category and app."""
+    counts = sums_by(star, ["app_key", "app_name", "issue_category"]).select(
+        "app_key",
         "app_name",
         "issue_category",
         F.col("n").alias("issue_review_count"),
-        F.sum("n").over(Window.partitionBy("app_name")).alias("total_reviews"),
+        F.sum("n").over(Window.partitionBy("app_key")).alias("total_reviews"),
     )
     share = N.percent_of(F.col("issue_review_count"), F.col("total_reviews"))
     return (
         counts.filter(F.col("issue_category") != "none")
         .withColumn("pct_of_app_reviews", share)
         .orderBy("app_name", F.desc("issue_review_count"), "issue_category")
+        .drop("app_key")
     )
 
 
@@ -171,7 +180,7 @@ def liked_complaints(star: Star, stage: Stage, k: int = 5, max_rating: int = 2)
 def reply_split(star: Star, stage: Stage) -> DataFrame:
     by = ["app_name", "has_developer_reply"]
     return (
-        sums_by(star, by)
+        sums_by(star, ["app_key", *by])
         .select(
             *by,
             F.col("n").alias("review_count"),
@@ -184,13 +193,14 @@ def reply_split(star: Star, stage: Stage) -> DataFrame:
 
 def worst_versions(star: Star, stage: Stage, min_reviews: int = 10, k: int = 20) -> DataFrame:
     by = ["version_key", "app_key"]
-    none_key = star.dim_issue_category.filter(F.col("issue_category") == "none").first()["issue_key"]
-    sums = star.fact_reviews.groupBy(*by).agg(
+    issue = star.dim_issue_category.select("issue_key", (F.col("issue_category") != "none").cast("int").alias("is_issue"))
+    tagged = star.fact_reviews.join(broadcast_if_small(issue), "issue_key")
+    sums = tagged.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("rating").alias("rating_sum"),
         N.exact_score_sum(F.col("sentiment_score")).alias("sentiment_sum"),
         F.sum((F.col("sentiment_label") == "negative").cast("int")).alias("negative"),
-        F.sum((F.col("issue_key") != none_key).cast("int")).alias("issue_review_count"),
+        F.sum("is_issue").alias("issue_review_count"),
     )
     return (
         sums.filter(F.col("n") >= min_reviews)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions import dates as D
+from reviewmill.functions.text import ISSUE_KEYWORDS
 from reviewmill.operators.joins import broadcast_if_small
 from reviewmill.operators.keys import dense_keys
 from reviewmill.schemas import FACT_COLUMNS, ISSUE_DIMENSION
@@ -70,10 +72,13 @@ def dim_date(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def dim_issue_category(spark: SparkSession) -> DataFrame:
+def dim_issue_category(spark: SparkSession, keywords: Sequence[tuple[str, Sequence[str]]] = ISSUE_KEYWORDS) -> DataFrame:
+    """One row per category of ``keywords``, in order, and "none". A category of the user's own describes itself."""
+    described = {category: text for _, category, text in ISSUE_DIMENSION}
+    categories = [c for c in dict.fromkeys(c for c, _ in keywords) if c != "none"] + ["none"]
     names = ("issue_key", "issue_category", "issue_description")
-    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in ISSUE_DIMENSION]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    rows = [(key, c, described.get(c, c)) for key, c in enumerate(categories, 1)]
+    return spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows])))
 
 
 def attach_app(cleaned: DataFrame, apps: DataFrame) -> DataFrame:
@@ -91,11 +96,13 @@ def attach_version(cleaned: DataFrame, versions: DataFrame) -> DataFrame:
 
 def attach_issue(cleaned: DataFrame, issues: DataFrame) -> DataFrame:
     side = issues.select("issue_category", "issue_key")
-    return cleaned.join(F.broadcast(side), "issue_category", "left")  # six fixed rows
+    return cleaned.join(broadcast_if_small(side), "issue_category", "left")
 
 
-def build_star(cleaned: DataFrame, stage: Stage | None = None) -> Star:
-    """Build and store the star schema from a stored ``cleaned`` table.
+def build_star(
+    cleaned: DataFrame, stage: Stage | None = None, keywords: Sequence[tuple[str, Sequence[str]]] = ISSUE_KEYWORDS
+) -> Star:
+    """Build and store the star schema from a ``cleaned`` table tagged with ``keywords``.
 
     Dimensions are stored first: their measured size decides how the fact joins them. The fact
     is laid out by month, with adaptive rebalancing so that a hot month becomes many files.
@@ -107,7 +114,10 @@ def build_star(cleaned: DataFrame, stage: Stage | None = None) -> Star:
     apps = stage.put(dim_app(cleaned, stage), "dim_app")
     versions = stage.put(dim_app_version(cleaned, stage), "dim_app_version")
     dates = stage.put(dim_date(cleaned), "dim_date")
-    issues = stage.put(dim_issue_category(cleaned.sparkSession), "dim_issue_category")
+    issues = stage.put(dim_issue_category(cleaned.sparkSession, keywords), "dim_issue_category")
+    unknown = cleaned.select("issue_category").distinct().join(issues, "issue_category", "left_anti").limit(1).collect()
+    if unknown:
+        raise ValueError(f"issue category {unknown[0]['issue_category']!r} is not in the keyword table")
     fact = (
         cleaned.transform(attach_app, apps)
         .transform(attach_version, versions)

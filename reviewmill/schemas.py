@@ -20,7 +20,13 @@ RAW_REVIEWS = T.StructType(
     ]
 )
 
-# Two rows with equal values here (null = null) are the same review.
+# Where a row came from; sorts like the order of rows in the files.
+INGEST_ORDER = ("_file", "_block", "_row")
+
+# Null in CSV files, so that it differs from empty text.
+NULL_MARK = "\\N"
+
+# Two rows with equal values here (null = null) are the same review.
 DEDUP_KEYS = ("app_id", "review_id", "user_name", "review_text", "review_date")
 
 FEATURE_COLUMNS = (
@@ -42,6 +48,7 @@ RELEASE_COLUMNS = (
 )
 CLEANED_COLUMNS = tuple(RAW_REVIEWS.names) + FEATURE_COLUMNS + RELEASE_COLUMNS
 
+# Columns of the fact and of the detail sheet.
 FACT_COLUMNS = (
     "review_id",
     "user_name",

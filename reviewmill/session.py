@@ -6,7 +6,9 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "reviewmill", master: str | None = None, **conf: str) -> SparkSession:
-    """Get or create a session: UTC clock, adaptive plans, skew-join splitting, zstd shuffles.
+    """Get or create a session: UTC clock, ANSI casts, adaptive plans, skew-join splitting, zstd shuffles.
+
+    Arrow batches are kept short, since a row can hold a long text.
 
     Extra settings are given as keyword arguments with ``__`` for the dots, for example
     ``spark__sql__shuffle__partitions="8"``.
@@ -14,6 +16,9 @@ def build_session(app_name: str = "reviewmill", master: str | None = None, **con
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.ansi.enabled", "true")
+        .config("spark.io.compression.codec", "zstd")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.functions.text import NA_VALUES, missing_to_null
-from reviewmill.schemas import RAW_REVIEWS
+from reviewmill.schemas import INGEST_ORDER, NULL_MARK, RAW_REVIEWS
 
-# Where a row came from; sorts like the order of rows in the files.
-INGEST_ORDER = ("_file", "_block", "_row")
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """A CSV table as ``write_table`` writes it: empty text and null are told apart.
+
+    With ``multi_line`` a text may hold line breaks, but a file is read by a single task; many files,
+    or files without such texts and ``multi_line=False``, are read in parallel.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
+        .option("nullValue", NULL_MARK)
         .option("quote", '"')
         .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSSSSS][.SSS]")
@@ -33,17 +37,18 @@ def read_raw_reviews(
     path: str,
     fmt: str = "csv",
     na_values: Sequence[str] = NA_VALUES,
-    keep_order: bool = False,
+    keep_order: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Raw reviews with a fixed schema; texts in ``na_values`` become null in CSV sources.
 
-    ``keep_order`` adds the columns of ``INGEST_ORDER``, to be passed to ``keep_first`` when the
-    first copy in file order must survive.
+    ``keep_order`` adds the columns of ``INGEST_ORDER``, by which ``keep_first`` lets the first copy in
+    file order survive.
     """
     if fmt == "csv":
         # Read as text first, so that a missing mark in a numeric column is null as well.
         texts = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_REVIEWS.fields])
-        raw = _csv(spark, path, texts)
+        raw = read_csv(spark, path, texts, multi_line)
     else:
         raw = spark.read.schema(RAW_REVIEWS).format(fmt).load(path)
     order = []
@@ -68,7 +73,7 @@ def read_raw_reviews(
 def read_cleaned(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """A stored cleaned table with typed dates."""
     if fmt == "csv":
-        return _csv(spark, path, schema)
+        return read_csv(spark, path, schema)
     return spark.read.schema(schema).format(fmt).load(path)
 
 
@@ -96,6 +101,11 @@ def combine_batches(batches: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, batches)
 
 
+def read_app_folders(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:
+    """Batches stored as ``folder/app_name=<name>/`` in one scan."""
+    return spark.read.schema(RAW_REVIEWS).format(fmt).load(folder).select(*RAW_REVIEWS.names)
+
+
 def empty_apps(expected: DataFrame, raw: DataFrame) -> DataFrame:
     """Expected apps without a single row. ``expected`` has app_id."""
     return expected.join(raw.select("app_id").distinct(), "app_id", "left_anti")
@@ -103,6 +113,6 @@ def empty_apps(expected: DataFrame, raw: DataFrame) -> DataFrame:
 
 def require_all_apps(expected: DataFrame, raw: DataFrame) -> None:
     """Stop when an expected app delivered nothing."""
-    missing = [r["app_id"] for r in empty_apps(expected, raw).limit(20).collect()]
-    if missing:
-        raise RuntimeError(f"no reviews for: {', '.join(missing)}")
+    found = empty_apps(expected, raw).agg(F.count(F.lit(1)).alias("n"), F.min("app_id").alias("first")).first()
+    if found["n"]:
+        raise RuntimeError(f"{found['n']} apps without reviews, the first {found['first']}; empty_apps lists them")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from reviewmill.plans.star import Star
+from reviewmill.schemas import NULL_MARK
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", sort_by: str | None = None) -> None:
@@ -14,7 +15,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", sort_by: str | N
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.options(
-            header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            header=True, escape='"', nullValue=NULL_MARK, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         )
     writer.format(fmt).save(path)
 

@@ -12,18 +12,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only for a local master."""
+    """The session's ``spark.checkpoint.dir``; one temporary folder per application for a local master.
+
+    The session is only read: its own checkpoint folder stays as it is.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not context.master.split("[")[0] == "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="reviewmill-")
-    context.setCheckpointDir(folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="reviewmill-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 class Stage:

@@ -103,4 +103,39 @@ def test_long_lexicon_uses_the_join(spark, monkeypatch):
 def test_lexicon_file(spark, tmp_path):
     path = tmp_path / "lexicon.txt"
     path.write_text("good\t1.9\t0.9\t[2, 2]\nbad\t-2.5\t0.6\t[-3]\n\n")
-    assert {tuple(r) for r in S.read_lexicon(spark, str(path)).collect()} == {("good", 1.9), ("bad", -2.5)}
+    assert {tuple(r)[:2] for r in S.read_lexicon(spark, str(path)).collect()} == {("good", 1.9), ("bad", -2.5)}
+
+
+def test_the_last_line_of_a_repeated_term_counts(spark, tmp_path):
+    path = tmp_path / "lexicon.txt"
+    path.write_text("good\t1.9\nbad\t-2.5\ngood\t1.5\n")
+    assert {tuple(r) for r in S.settled(S.read_lexicon(spark, str(path))).collect()} == {("good", 1.5), ("bad", -2.5)}
+
+
+def test_repeated_terms_score_alike_in_both_plans(spark):
+    lexicon = spark.createDataFrame([("good", 1.9), ("good", 1.5), ("bad", -2.5), ("bad", -2.5)], "term string, valence double")
+    docs = spark.createDataFrame([(1, "good"), (2, "bad")], "id int, t string")
+    inside = {r["id"]: r["sentiment_score"] for r in S.with_sentiment(docs, "id", "t", lexicon).collect()}
+    joined = {r["id"]: r["sentiment_score"] for r in S.score_by_join(docs, "id", "t", lexicon).collect()}
+    assert inside == joined == {1: 0.4404, 2: -0.5423}
+
+
+def test_one_long_word_in_capitals_takes_no_time(spark):
+    import time
+
+    text = "A" * 100_000 + "b good"
+    scores(spark, ["warm up GOOD day"])
+    start = time.perf_counter()
+    assert scores(spark, [text]) == [0.4404]
+    assert time.perf_counter() - start < 5  # quadratic matching took minutes
+
+
+def test_a_large_lexicon_is_planned_quickly(spark):
+    import time
+
+    terms = {float(v): [f"it's\\{v}w{i}" for i in range(107)] for v in range(70)}
+    docs = spark.createDataFrame([(1, "it's\\3w5"), (2, "none")], "id int, t string")
+    start = time.perf_counter()
+    scored = S.score_in_place(docs, "t", terms)
+    assert time.perf_counter() - start < 2
+    assert {r["id"]: r["sentiment_score"] > 0 for r in scored.collect()} == {1: True, 2: False}

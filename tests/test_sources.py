@@ -10,7 +10,7 @@ def test_csv_round_trip_keeps_quotes_lines_and_blanks(spark, reviews, tmp_path):
     texts = ['say "hi"', "two\nlines", "  padded ", "a,b", "back\\slash", None]
     raw = reviews(*[dict(review_text=t) for t in texts])
     writers.write_table(raw.coalesce(1), str(tmp_path / "raw"), "csv")
-    back = readers.read_raw_reviews(spark, str(tmp_path / "raw"))
+    back = readers.read_raw_reviews(spark, str(tmp_path / "raw"), keep_order=False)
     assert sorted(back.collect(), key=lambda r: r["review_id"]) == sorted(raw.collect(), key=lambda r: r["review_id"])
 
 
@@ -28,8 +28,7 @@ def test_first_copy_in_file_order(spark, tmp_path):
     line = "a,A,1,u,{r},text,{t},1.0,2026-01-02 03:04:05,\n"
     path = tmp_path / "raw.csv"
     path.write_text(head + line.format(r=5, t=9) + line.format(r=1, t=0))
-    raw = readers.read_raw_reviews(spark, str(path), keep_order=True)
-    assert keep_first(raw, order_by=readers.INGEST_ORDER).first()["rating"] == 5
+    assert keep_first(readers.read_raw_reviews(spark, str(path))).first()["rating"] == 5
 
 
 def test_missing_app_stops_the_run(spark, reviews):
@@ -43,3 +42,26 @@ def test_shape_batch(spark):
     fields = {"review_id": "reviewId", "rating": "score", "review_text": "content", "review_date": "at"}
     row = readers.shape_batch(rows, fields, "com.a", "A").first()
     assert (row["app_id"], row["review_id"], row["rating"], row["reply_text"]) == ("com.a", "x", 5, None)
+
+
+def test_empty_text_and_null_differ_in_csv(spark, tmp_path):
+    table = spark.createDataFrame([(1, "", None), (2, None, 0.5), (3, "x", -0.0), (4, '""', 1.0)], "id int, t string, d double")
+    writers.write_table(table, str(tmp_path / "t"), "csv")
+    back = readers.read_csv(spark, str(tmp_path / "t"), table.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_app_folders_are_one_scan(spark, reviews, tmp_path):
+    raw = reviews(dict(app_name="A b"), dict(app_name="C"), dict(app_name="C"))
+    raw.write.partitionBy("app_name").parquet(str(tmp_path / "batches"))
+    back = readers.read_app_folders(spark, str(tmp_path / "batches"))
+    assert back.exceptAll(raw).count() == raw.exceptAll(back).count() == 0
+
+
+def test_no_negative_zero(spark):
+    from pyspark.sql import functions as F
+
+    from reviewmill.functions.numbers import round_half_away
+
+    got = spark.range(1).select(round_half_away(F.lit(-0.001), 2).cast("string")).first()[0]
+    assert got == "0.0"

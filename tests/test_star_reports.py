@@ -173,3 +173,41 @@ def test_undated_reviews_stop_the_build(spark, reviews, stage):
     cleaned = clean_reviews(reviews(dict(review_date=None)), sample_lexicon(spark), stage)
     with pytest.raises(ValueError):
         build_star(cleaned, stage)
+
+
+def test_apps_with_one_name_stay_apart(spark, reviews, stage):
+    rows = [dict(app_id=f"com.{a}", app_name="Same", reply_text="x" if i % 2 else None, review_text=f"crash {i}") for a in "xy" for i in range(6)]
+    cleaned = clean_reviews(reviews(*rows), sample_lexicon(spark), stage)
+    star = build_star(cleaned, stage)
+    for name, counts in {"q1_app_ranking": [6, 6], "q2_version_health": [6, 6], "q7_reply_split": [3, 3, 3, 3]}.items():
+        assert [r["review_count"] for r in rows_of(REPORTS[name](star, stage))] == counts
+    assert [(r["issue_review_count"], r["total_reviews"]) for r in rows_of(REPORTS["q3_issue_frequency"](star, stage))] == [(6, 6), (6, 6)]
+
+
+def test_own_categories_have_keys_and_unknown_ones_stop_the_build(spark, reviews, stage):
+    own = (("ads", ("advert",)), ("crash", ("crash",)))
+    rows = [dict(review_text=t) for t in ("too many adverts", "crash", "fine")]
+    cleaned = clean_reviews(reviews(*rows), sample_lexicon(spark), stage, keywords=own)
+    star = build_star(cleaned, stage, own)
+    assert {r["issue_category"]: r["total_reviews"] for r in rows_of(REPORTS["q3_issue_frequency"](star, stage))} == {"ads": 3, "crash": 3}
+    assert set(measures.issue_matrix(star).columns) == {"app_name", "ads", "crash", "none"}
+    with pytest.raises(ValueError, match="ads"):
+        build_star(cleaned, stage)
+
+
+def test_audit_moves_no_text(model, reviews):
+    from reviewmill.plans.audit import cleaning_counts
+
+    cleaned, _, _ = model
+    raw = reviews(*sample_rows(), dict(review_text=None), dict(rating=None), sample_rows()[0] | {"review_id": "r0"})
+    plan = cleaning_counts(raw, cleaned)._jdf.queryExecution().optimizedPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert aggregates and not any("review_text#" in line for line in aggregates)
+    counts = {r["detail"]: r["row_count"] for r in rows_of(cleaning_counts(raw, cleaned)) if r["step"] == "clean"}
+    assert counts == {"rows_in": 123, "after_dedup": 122, "after_null_drop": 120, "final": 120}
+
+
+def test_every_date_and_issue_attribute_slices(model):
+    _, star, _ = model
+    for by in ("year", "month", "week_start", "issue_description", "quarter", "month_name"):
+        assert sum(r["total_reviews"] for r in rows_of(measures.measures(star, [by]))) == 120
