@@ -391,10 +391,10 @@ on_star(
 )
 on_star(
     "a3_percentages", lambda s: R.app_ranking(s, None).select("app_name", "pct_positive", "pct_negative", "developer_reply_rate"),
-    "select app_name, " + ", ".join(
+    "select a.app_name, " + ", ".join(
         f"round(100.0::double * count(*) filter ({c}) / count(*), 1) as {a}"
         for c, a in (("sentiment_label = 'positive'", "pct_positive"), ("sentiment_label = 'negative'", "pct_negative"), ("has_developer_reply = 1", "developer_reply_rate"))
-    ) + " from fact f join dim_app a on f.app_key = a.app_key group by a.app_key, app_name",
+    ) + " from fact f join dim_app a on f.app_key = a.app_key group by a.app_key, a.app_name",
 )
 on_cleaned("a4_conditional_count", lambda c: c.groupBy("app_name").agg(F.count_if(F.col("issue_category") != "none").alias("n")),
            "select app_name, count(*) filter (issue_category <> 'none') as n from tagged group by all")
