@@ -27,6 +27,11 @@ def label_fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5, F.lit(0))
 
 
+def once(value: Column) -> Column:
+    """``value`` as a generated row, which keeps the optimizer from repeating it in later steps."""
+    return F.explode(F.array(value))
+
+
 def utf8(column: pa.Array) -> pa.Array:
     """A text or binary column as plain binary, nulls as empty."""
     return column.cast(pa.binary()).fill_null(b"")

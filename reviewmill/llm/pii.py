@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import WORD
+from reviewmill.llm.common import WORD, once
 from reviewmill.operators.joins import broadcast_if_small
 from reviewmill.staging import Stage
 
@@ -112,6 +112,11 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(text.rlike(HINTS[kind]), spans).otherwise(F.array().cast(SPANS))
 
 
+def all_base_spans(text: Column) -> Column:
+    """Base spans of all kinds, by kind; looked for once per text, however often they are used."""
+    return once(F.concat(*[base_spans(text, kind) for kind in KINDS]))
+
+
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -206,9 +211,8 @@ def personal_spans(docs: DataFrame, stage: Stage, least: int = 3, share: float =
     bases = stage.put(base_table(docs), "base_spans")
     terms = disclosing_terms(docs, bases, stage, least, share)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body_of(docs).alias("body"))
-    marked = texts.join(broadcast_if_small(terms), "doc_id").select("doc_id", F.xxhash64("body").alias("copy"), "body", "terms")
-    base = F.concat(*[base_spans(F.col("body"), kind) for kind in KINDS])
-    extra = marked.select("doc_id", "copy", term_spans(F.col("body"), F.col("terms"), base).alias("extra"))
+    marked = texts.join(broadcast_if_small(terms), "doc_id").select("doc_id", "body", "terms", all_base_spans(F.col("body")).alias("base"))
+    extra = marked.select("doc_id", F.xxhash64("body").alias("copy"), term_spans(F.col("body"), F.col("terms"), F.col("base")).alias("extra"))
     extra = stage.put(extra.filter(F.size("extra") > 0).dropDuplicates(["doc_id", "copy"]), "term_spans")
     every = bases.join(broadcast_if_small(extra), ["doc_id", "copy"], "left")
     base, more = F.concat(*[F.col(k) for k in KINDS]), F.coalesce("extra", F.array().cast(SPANS))
@@ -253,9 +257,10 @@ def sanitise(docs: DataFrame, stage: Stage, least: int = 3, share: float = 0.9)
     bases = stage.put(base_table(docs), "base_spans")
     terms = disclosing_terms(docs, bases, stage, least, share).select(F.col("doc_id").alias("_doc"), F.col("terms").alias("_terms"))
     joined_docs = docs.join(broadcast_if_small(terms), docs["doc_id"].cast("bigint") == F.col("_doc"), "left")
-    base = F.concat(*[base_spans(F.col("text"), kind) for kind in KINDS])
-    spans = F.concat(base, term_spans(F.col("text"), F.col("_terms"), base))
-    masked = joined_docs.withColumn("text", F.when(F.col("text").isNotNull(), mask(F.col("text"), spans)))
+    found = joined_docs.withColumn("_base", all_base_spans(F.col("text")))
+    every = F.concat("_base", term_spans(F.col("text"), F.col("_terms"), F.col("_base")))
+    spanned = found.withColumn("_spans", once(every))
+    masked = spanned.withColumn("text", F.when(F.col("text").isNotNull(), mask(F.col("text"), F.col("_spans"))))
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return masked.select(*docs.columns)

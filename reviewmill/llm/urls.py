@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.llm.common import once
 from reviewmill.llm.components import connected_components
 from reviewmill.operators.joins import broadcast_if_small
 from reviewmill.staging import Stage
@@ -91,11 +92,6 @@ def _resolved(href: Column, host: Column, path: Column) -> Column:
     )
 
 
-def _once(value: Column) -> Column:
-    """``value`` as a generated row, which keeps the optimizer from repeating it in later steps."""
-    return F.explode(F.array(value))
-
-
 def alias_edges(pages: DataFrame) -> DataFrame:
     """(key, target): canonical links and refresh redirects found in the html of ``pages``."""
     plain = F.regexp_replace("html", r"(?s)<!--.*?-->", "")
@@ -106,9 +102,9 @@ def alias_edges(pages: DataFrame) -> DataFrame:
     sent_to = F.nullif(F.regexp_extract(_attribute(tag, "content"), r"""(?i)url\s*=\s*['"]?([^'"\s]+)""", 1), F.lit(""))
     href = F.when(canonical, _attribute(tag, "href")).when(refresh, sent_to)
     found = pages.filter(F.col("html").rlike(LINKS)).select("key", "host", "path", F.explode(tags).alias("tag"))
-    linked = found.select("key", "host", "path", _once(href).alias("href")).filter("href is not null and href <> ''")
+    linked = found.select("key", "host", "path", once(href).alias("href")).filter("href is not null and href <> ''")
     target = _resolved(F.col("href"), F.col("host"), F.col("path"))
-    reached = linked.select("key", _once(target).alias("rest")).filter("rest is not null")
+    reached = linked.select("key", once(target).alias("rest")).filter("rest is not null")
     return reached.select("key", _key(F.col("rest")).alias("target")).filter("key <> '' and target <> ''")
 
 
