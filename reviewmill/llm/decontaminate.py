@@ -12,6 +12,7 @@ size and never reject a true hit, so what is shuffled follows the leaks and not
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -171,6 +172,31 @@ def best_stretch(equal: np.ndarray, penalty: float) -> tuple[int, int]:
     return start, end
 
 
+def leaking_stretch(equal: np.ndarray, least: int, identity: float) -> tuple[int, int]:
+    """[start, end) of a stretch with ``least`` matches at ``identity`` or better, (0, 0) if there is none.
+
+    That is the best stretch at half the break-even penalty if it meets the rule. A best stretch may run
+    on through a passage that falls short; then it is the one with the most matches of all that meet
+    the rule: each start goes with the farthest end up to which the share of matches holds.
+    """
+    share = Fraction(str(identity))
+    matches = np.concatenate([[0], np.cumsum(equal, dtype=np.int64)])
+    if matches[-1] < least:
+        return 0, 0
+    start, end = best_stretch(equal, identity / (1 - identity) / 2)
+    if (found := matches[end] - matches[start]) >= least and found * share.denominator >= share.numerator * (end - start):
+        return start, end
+    gain = matches * share.denominator - np.arange(len(matches)) * share.numerator
+    ahead = np.maximum.accumulate(gain[::-1])  # the highest gain from each end on, last end first
+    starts = np.flatnonzero(equal)
+    ends = len(equal) - np.searchsorted(ahead, gain[starts])
+    found = matches[ends] - matches[starts]
+    at = int(np.argmax(found))
+    if found[at] < least:
+        return 0, 0
+    return int(starts[at]), int(np.flatnonzero(equal[: ends[at]])[-1]) + 1
+
+
 def benchmark_overlaps(
     docs: DataFrame, benchmark: DataFrame, stage: Stage, least_words: int = 12, identity: float = 0.8
 ) -> DataFrame:
@@ -178,8 +204,8 @@ def benchmark_overlaps(
 
     A document leaks an item when a stretch of ``least_words`` equal tokens (all of a shorter item)
     lines up without gaps and at least ``identity`` of the stretch's tokens are equal. Positions
-    count tokens, ends are exclusive; the best stretch per document and item is reported, ties to
-    the first. Case and punctuation around words do not matter. Null texts and ids and items of
+    count tokens, ends are exclusive; the best stretch per document and item is reported (see
+    ``leaking_stretch``; of several alignments the one with most matches), ties to the first. Case and punctuation around words do not matter. Null texts and ids and items of
     fewer than five tokens take no part; rows with one doc_id count as one document; items with one
     item_id as one item.
     """
@@ -209,10 +235,9 @@ def benchmark_overlaps(
                 for shift in batch.column("shifts")[number].values.to_numpy():
                     begin, end = max(0, -int(shift)), min(len(item), len(doc) - int(shift))
                     equal = item[begin:end] == doc[begin + shift : end + shift]
-                    start, stop = best_stretch(equal, identity / (1 - identity) / 2)
-                    matched = int(equal[start:stop].sum())
-                    if matched >= min(least_words, len(item)) and matched >= identity * (stop - start):
-                        at = begin + start
+                    start, stop = leaking_stretch(equal, max(1, min(least_words, len(item))), identity)
+                    if stop > start:
+                        matched, at = int(equal[start:stop].sum()), begin + start
                         rows.append((number, at + shift, begin + stop + shift, at, begin + stop, matched, stop - start))
             if rows:
                 table = np.array(rows, np.int64)

@@ -40,6 +40,32 @@ def test_best_stretch_is_the_best():
         assert score(start, end) == max([0.0] + [score(a, b) for a in range(len(equal)) for b in range(a, len(equal) + 1)])
 
 
+def test_leaking_stretch_equals_brute_force():
+    draw = random.Random(5)
+    for n in range(1500):
+        least, identity = draw.choice([(12, 0.8), (5, 0.8), (6, 0.7), (4, 0.9)])
+        chance = draw.choice([0.5, 0.7, 0.8, 0.95])
+        equal = np.array([draw.random() < chance for _ in range(draw.randint(0, 45))], bool)
+        rule = lambda a, b: equal[a:b].sum() >= least and 10 * equal[a:b].sum() >= round(10 * identity) * (b - a)
+        every = [(a, b) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1) if rule(a, b)]
+        start, end = D.leaking_stretch(equal, least, identity)
+        assert (end > start) == bool(every)
+        if every:
+            assert (start, end) in every
+            if (start, end) != D.best_stretch(equal, identity / (1 - identity) / 2):
+                assert (start, end) == min((s for s in every if equal[s[0]] and equal[s[1] - 1]), key=lambda s: (-equal[s[0] : s[1]].sum(), s))
+
+
+@pytest.mark.parametrize("runs,length,gap", [(3, 100, 22), (3, 30, 14), (3, 12, 5)])
+def test_exact_runs_with_changed_words_between(spark, stage, runs, length, gap):
+    words = prose(31, runs * length + (runs - 1) * gap)
+    changed = [w if i % (length + gap) < length else "other" for i, w in enumerate(words)]
+    got = leaks(spark, stage, documents(spark, {1: " ".join(changed)}), items(spark, {1: " ".join(words)}))
+    assert set(got) == {(1, 1)}
+    row = got[1, 1]
+    assert row["matched"] >= length and 5 * row["matched"] >= 4 * row["words"]
+
+
 def leaks(spark, stage, docs, bench, **options):
     out = D.benchmark_overlaps(docs, bench, stage, **options).collect()
     return {(r["doc_id"], r["item_id"]): r for r in out}
