@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -31,6 +32,30 @@ def test_masks_compare_only_their_positions():
             assert (D.window_hashes(other, mask, number)[0] == window[0]) == (at not in mask)
 
 
+def test_every_stretch_within_the_rule_has_a_seed():
+    masks = D.masks_for(())
+    for length in range(12, 30):  # a longer stretch holds one of 15 to 29 tokens that is within the rule
+        changes = max(x for x in range(length) if length - x >= 12 and 5 * (length - x) >= 4 * length)
+        changed = np.array(list(itertools.combinations(range(length), changes)), np.int64)
+        bits = np.bitwise_or.reduce(np.int64(1) << changed, axis=1) if changes else np.zeros(1, np.int64)
+        hit = np.zeros(len(bits), bool)
+        for mask in masks:
+            for at in range(length - mask[-1]):
+                hit |= bits & sum(1 << (at + i) for i in mask) == 0
+        assert hit.all(), (length, changes)
+
+
+def test_short_passage_at_the_rule(spark, stage):
+    words, fresh = prose(77, 15), ["x", "y", "z"]
+    texts = {}
+    for i, at in enumerate(itertools.combinations(range(15), 3)):
+        changed = list(words)
+        for j, w in zip(at, fresh):
+            changed[j] = w
+        texts[i] = " ".join(changed)
+    assert set(leaks(spark, stage, documents(spark, texts), items(spark, {1: " ".join(words)}))) == {(i, 1) for i in range(455)}
+
+
 def test_best_stretch_is_the_best():
     draw = random.Random(2)
     for _ in range(300):
