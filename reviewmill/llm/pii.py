@@ -117,6 +117,10 @@ def all_base_spans(text: Column) -> Column:
     return once(F.concat(*[base_spans(text, kind) for kind in KINDS]))
 
 
+def _of_kind(spans: Column, kind: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
+
+
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -126,12 +130,15 @@ def body_of(docs: DataFrame) -> Column:
 
 
 def base_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, copy, email, ip, card, phone): the base spans of every row of ``docs``.
+    """(doc_id, copy, email, ip, card, phone, words): the base spans of every row of ``docs``.
 
-    ``copy`` is a hash of the text; null texts are empty.
+    ``copy`` is a hash of the text; ``words`` are the words of a text with spans; null texts are empty.
     """
     body = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body_of(docs).alias("body"))
-    return body.select("doc_id", F.xxhash64("body").alias("copy"), *[base_spans(F.col("body"), kind).alias(kind) for kind in KINDS])
+    found = body.select("doc_id", "body", all_base_spans(F.col("body")).alias("base"))
+    words = F.when(F.size("base") > 0, plain_words(F.col("body")))
+    by_kind = [_of_kind(F.col("base"), kind).alias(kind) for kind in KINDS]
+    return found.select("doc_id", F.xxhash64("body").alias("copy"), *by_kind, words.alias("words"))
 
 
 # --- disclosure -----------------------------------------------------------------------------------------
@@ -152,46 +159,61 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], value)
 
 
-def holders_of(bases: DataFrame, stage: Stage, least: int) -> DataFrame:
-    """(doc_id, entity, n_e): documents that hold an entity found in at least ``least`` documents."""
+def _levels(span: Column) -> Column:
+    """The entity of a span and the wider ones it belongs to, which recur where the value itself does not.
+
+    An email's domain, an ip's first two parts, the first six digits of a card, the first four of a phone, and
+    last the kind alone.
+    """
+    value, digits = F.lower(span["value"]), _digits(span["value"])
+    part = (
+        F.when(span["kind"] == "email", F.regexp_extract(value, "@(.*)$", 1))
+        .when(span["kind"] == "ip", F.substring_index(value, ".", 2))
+        .when(span["kind"] == "card", F.left(digits, F.lit(6)))
+        .otherwise(F.left(digits, F.lit(4)))
+    )
+    return F.array(_entity(span), F.concat_ws(":", span["kind"], F.lit("part"), part), span["kind"])
+
+
+def entity_terms(bases: DataFrame) -> DataFrame:
+    """(doc_id, copy, entities, words): per row that holds base spans, its entities at all levels and its words."""
     spans = F.concat(*[F.col(k) for k in KINDS])
-    held = bases.filter(F.size(spans) > 0).select("doc_id", F.explode(F.array_distinct(F.transform(spans, _entity))).alias("entity"))
-    held = stage.put(held.filter("doc_id is not null").distinct(), "held")
-    often = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= least)
-    return stage.put(held.join(broadcast_if_small(stage.put(often, "entities")), "entity"), "holders")
+    held = bases.filter("doc_id is not null and words is not null")
+    return held.select("doc_id", "copy", F.array_distinct(F.flatten(F.transform(spans, _levels))).alias("entities"), "words")
 
 
 def disclosing_terms(docs: DataFrame, bases: DataFrame, stage: Stage, least: int = 3, share: float = 0.9) -> DataFrame:
     """(doc_id, terms): per document, the terms that disclose an entity the document holds.
 
-    An entity is a kind and value. With N documents, of which n_e hold the entity, n_t the term and
-    n_et both, a term discloses log(N n_et / (n_e n_t)) of the log(N / n_e) there is to disclose;
-    it counts from ``share`` of that on. An estimate needs ``least`` documents with both and two
-    different texts, so copies of one text prove nothing. The counts cover all documents. Parts
+    An entity is a value with its kind or, as most values stand in one document only, a wider level of it: a
+    mail domain, a network, the first digits, the kind. With N rows, of which n_e hold the entity, n_t
+    the term and n_et both, a term discloses log(N n_et / (n_e n_t)) of the log(N / n_e) there is to
+    disclose; it counts from ``share`` of that on. Every entity is looked at. An estimate needs ``least``
+    rows with both and two different texts, so copies of one text prove nothing. The counts cover all
+    rows. Parts
     of the entity itself are no terms.
     """
-    holders = holders_of(bases, stage, least)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body_of(docs).alias("body"))
-    lists = holders.groupBy("doc_id").agg(F.collect_list(F.struct("entity", "n_e")).alias("held"))
-    told = texts.join(broadcast_if_small(stage.put(lists, "held_lists")), "doc_id").select(
-        F.explode("held").alias("held"), F.xxhash64("body").alias("copy"), plain_words(F.col("body")).alias("words")
-    )
+    told = entity_terms(bases)
+    rows = told.select("copy", "words", F.explode("entities").alias("entity"))
+    holding = stage.put(rows.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= least), "entities")
     pairs = (
-        told.select("held.entity", "held.n_e", "copy", F.explode("words").alias("term"))
-        .groupBy("entity", "n_e", "term")
+        rows.join(broadcast_if_small(holding.select("entity")), "entity").select("entity", "copy", F.explode("words").alias("term"))
+        .groupBy("entity", "term")
         .agg(F.count(F.lit(1)).alias("n_et"), F.min("copy").alias("one"), F.max("copy").alias("other"))
         .filter((F.col("n_et") >= least) & (F.col("one") != F.col("other")) & ~F.contains("entity", F.col("term")))
     )
-    pairs = stage.put(pairs.select("entity", "n_e", "term", "n_et"), "pairs")
+    pairs = stage.put(pairs.join(broadcast_if_small(holding), "entity").select("entity", "n_e", "term", "n_et"), "pairs")
     wanted = broadcast_if_small(stage.put(pairs.select("term").distinct(), "terms"))
-    words = texts.select(F.explode(plain_words(F.col("body"))).alias("term"))
+    words = docs.select(F.explode(plain_words(body_of(docs))).alias("term"))
     spread = words.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     total = F.lit(float(max(bases.count(), 1)))
     most = F.log(total / F.col("n_e"))
     disclosed = F.log(total * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     known = stage.put(pairs.join(spread, "term").filter((most > 0) & (disclosed >= share * most)).select("entity", "term"), "disclosing")
-    by_entity = holders.select("doc_id", "entity").join(broadcast_if_small(known), "entity")
-    return stage.put(by_entity.groupBy("doc_id").agg(F.collect_set("term").alias("terms")), "document_terms")
+    useful = broadcast_if_small(stage.put(known.select("entity").distinct(), "disclosed"))
+    by_entity = told.select("doc_id", "words", F.explode("entities").alias("entity")).join(useful, "entity")
+    by_term = by_entity.select("doc_id", "entity", F.explode("words").alias("term")).join(broadcast_if_small(known), ["entity", "term"])
+    return stage.put(by_term.groupBy("doc_id").agg(F.collect_set("term").alias("terms")), "document_terms")
 
 
 def term_spans(text: Column, terms: Column, base: Column) -> Column:
@@ -205,8 +227,8 @@ def personal_spans(docs: DataFrame, stage: Stage, least: int = 3, share: float =
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_terms), a row per row of ``docs``.
 
     Base spans come by kind, then start; the spans of disclosing terms follow as kind "term". Null
-    texts are empty. A doc_id that repeats is treated as one document when entities and terms are
-    counted; rows with a null doc_id have base spans only. Other columns are ignored.
+    texts are empty. Entities and terms are counted by row; a doc_id that repeats has the terms of all its
+    rows, and rows with a null doc_id have base spans only. Other columns are ignored.
     """
     bases = stage.put(base_table(docs), "base_spans")
     terms = disclosing_terms(docs, bases, stage, least, share)

@@ -113,3 +113,16 @@ def test_empty_table(spark, stage):
 def test_plan_is_native(spark, stage):
     plan = P.personal_spans(documents(spark, {1: "a"}), stage)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_entities_that_stand_in_one_document_are_estimated(spark, stage):
+    """Every address is held by one document; the name beside them stands nowhere else."""
+    texts = {i: " ".join(prose(i, 30)) + f" ask Zanzibarov at box{i}@mail{i % 2}.org now" for i in range(6)}
+    texts |= {20 + i: " ".join(prose(20 + i, 30)) + f" ask Quixotic at +49 30 55500{i} now" for i in range(4)}
+    texts |= {50 + i: " ".join(prose(50 + i, 30)) + " ask at now" for i in range(90)}
+    got = {r["doc_id"]: r for r in P.personal_spans(documents(spark, texts), stage).collect()}
+    for i in (*range(6), *range(20, 24)):
+        name = "Zanzibarov" if i < 20 else "Quixotic"
+        at = texts[i].index(name)
+        assert got[i]["spans"].split(",")[1:] == [f"term:{at}:{at + len(name)}"]
+    assert all(got[i]["n_terms"] == 0 for i in got if i >= 50)
