@@ -132,11 +132,13 @@ def body_of(docs: DataFrame) -> Column:
 def base_table(docs: DataFrame) -> DataFrame:
     """(doc_id, copy, email, ip, card, phone, words): the base spans of every row of ``docs``.
 
-    ``copy`` is a hash of the text; ``words`` are the words of a text with spans; null texts are empty.
+    ``copy`` is a hash of the text; ``words`` are the words outside the spans of a text that has any; null
+    texts are empty.
     """
     body = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body_of(docs).alias("body"))
     found = body.select("doc_id", "body", all_base_spans(F.col("body")).alias("base"))
-    words = F.when(F.size("base") > 0, plain_words(F.col("body")))
+    apart = filled(F.col("body"), F.transform("base", lambda s: F.struct(s["start"], s["end"], F.lit(" ").alias("mark"))))
+    words = F.when(F.size("base") > 0, F.array_intersect(plain_words(apart), plain_words(F.col("body"))))
     by_kind = [_of_kind(F.col("base"), kind).alias(kind) for kind in KINDS]
     return found.select("doc_id", F.xxhash64("body").alias("copy"), *by_kind, words.alias("words"))
 
@@ -190,8 +192,8 @@ def disclosing_terms(docs: DataFrame, bases: DataFrame, stage: Stage, least: int
     the term and n_et both, a term discloses log(N n_et / (n_e n_t)) of the log(N / n_e) there is to
     disclose; it counts from ``share`` of that on. Every entity is looked at. An estimate needs ``least``
     rows with both and two different texts, so copies of one text prove nothing. The counts cover all
-    rows. Parts
-    of the entity itself are no terms.
+    rows. Words
+    count where they stand outside base spans, whether or not they are part of an entity's value.
     """
     told = entity_terms(bases)
     rows = told.select("copy", "words", F.explode("entities").alias("entity"))
@@ -200,7 +202,7 @@ def disclosing_terms(docs: DataFrame, bases: DataFrame, stage: Stage, least: int
         rows.join(broadcast_if_small(holding.select("entity")), "entity").select("entity", "copy", F.explode("words").alias("term"))
         .groupBy("entity", "term")
         .agg(F.count(F.lit(1)).alias("n_et"), F.min("copy").alias("one"), F.max("copy").alias("other"))
-        .filter((F.col("n_et") >= least) & (F.col("one") != F.col("other")) & ~F.contains("entity", F.col("term")))
+        .filter((F.col("n_et") >= least) & (F.col("one") != F.col("other")))
     )
     pairs = stage.put(pairs.join(broadcast_if_small(holding), "entity").select("entity", "n_e", "term", "n_et"), "pairs")
     wanted = broadcast_if_small(stage.put(pairs.select("term").distinct(), "terms"))
@@ -249,14 +251,8 @@ def personal_spans(docs: DataFrame, stage: Stage, least: int = 3, share: float =
 
 # --- sanitising -------------------------------------------------------------------------------------------
 
-def mask(text: Column, spans: Column) -> Column:
-    """``text`` with every span generalised to its class or, for a plain term, removed."""
-    def mark(span: Column) -> Column:
-        general = F.when(span["value"].rlike("[0-9]"), NUMBER_MARK).when(span["value"].rlike(r"^[^\p{L}]*\p{Lu}"), NAME_MARK).otherwise("")
-        for kind in KINDS:
-            general = F.when(span["kind"] == kind, MARKS[kind]).otherwise(general)
-        return F.struct(span["start"].alias("start"), span["end"].alias("end"), general.alias("mark"))
-
+def filled(text: Column, marked: Column) -> Column:
+    """``text`` with the stretches of ``marked`` (start, end, mark) replaced by their marks; of overlapping ones the first counts."""
     def step(state: Column, span: Column) -> Column:
         fresh = span["start"] >= state["at"]
         before = F.substring(text, state["at"] + 1, span["start"] - state["at"])
@@ -264,11 +260,21 @@ def mask(text: Column, spans: Column) -> Column:
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(
-        F.array_sort(F.transform(spans, mark)), start, step,
+    return F.aggregate(
+        F.array_sort(marked), start, step,
         lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text) - state["at"])),
     )
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def mask(text: Column, spans: Column) -> Column:
+    """``text`` with every span generalised to its class or, for a plain term, removed."""
+    def mark(span: Column) -> Column:
+        general = F.when(span["value"].rlike("[0-9]"), NUMBER_MARK).when(span["value"].rlike(r"^[^\p{L}]*\p{Lu}"), NAME_MARK).otherwise("")
+        for kind in KINDS:
+            general = F.when(span["kind"] == kind, MARKS[kind]).otherwise(general)
+        return F.struct(span["start"].alias("start"), span["end"].alias("end"), general.alias("mark"))
+
+    return F.when(F.size(spans) > 0, filled(text, F.transform(spans, mark))).otherwise(text)
 
 
 def sanitise(docs: DataFrame, stage: Stage, least: int = 3, share: float = 0.9) -> DataFrame:

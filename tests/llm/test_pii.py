@@ -126,3 +126,13 @@ def test_entities_that_stand_in_one_document_are_estimated(spark, stage):
         at = texts[i].index(name)
         assert got[i]["spans"].split(",")[1:] == [f"term:{at}:{at + len(name)}"]
     assert all(got[i]["n_terms"] == 0 for i in got if i >= 50)
+
+
+def test_names_inside_the_address_are_marked(spark, stage):
+    texts = {i: " ".join(prose(i, 30)) + f" Zan Zoltan of Quorp sent mail {i} from zan.zoltan@quorp.com" for i in range(4)}
+    texts |= {20 + i: " ".join(prose(20 + i, 30)) + f" of sent mail {i} from" for i in range(60)}
+    got = {r["doc_id"]: r for r in P.personal_spans(documents(spark, texts), stage).collect()}
+    for i in range(4):
+        ends = [(texts[i].index(w), texts[i].index(w) + len(w)) for w in ("Zan", "Zoltan", "Quorp")]
+        assert got[i]["spans"].split(",")[1:] == [f"term:{a}:{b}" for a, b in ends]
+    assert all(got[i]["n_terms"] == 0 for i in got if i >= 20)
