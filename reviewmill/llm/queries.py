@@ -10,6 +10,7 @@ from reviewmill.llm.common import read_table
 from reviewmill.llm.decontaminate import benchmark_overlaps
 from reviewmill.llm.html_text import extract_pages
 from reviewmill.llm.mixing import cube_mix
+from reviewmill.llm.periodicity import periodic_runs, run_report, with_planted_runs
 from reviewmill.llm.pii import personal_spans
 from reviewmill.llm.quality import score_quality
 from reviewmill.llm.simhash import simhash_classes
@@ -87,6 +88,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
 
 
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_report(periodic_runs(with_planted_runs(read_table(spark, folder, "documents"))))
+
+
 ORACLES["op6_norm_sorted_topk"] = """
 with usable as (
   select vec_id, [cast(floor(256 * x::double) as bigint) for x in embedding] as v from embeddings
