@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm.common import read_table
 from reviewmill.llm.decontaminate import benchmark_overlaps
+from reviewmill.llm.divergence import LOWER, UPPER, source_divergence
 from reviewmill.llm.html_text import extract_pages
 from reviewmill.llm.mixing import cube_mix
 from reviewmill.llm.periodicity import periodic_runs, run_report, with_planted_runs
@@ -88,6 +89,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), Stage(spark))
 
 
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(read_table(spark, folder, "documents"), Stage(spark))
+
+
 @query
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_report(periodic_runs(with_planted_runs(read_table(spark, folder, "documents"))))
@@ -159,3 +165,39 @@ select page_id, payload_bytes, payload_digest,
   case when first <> page_id then first end as refers_to
 from firsts
 """
+
+ORACLES["op11_source_divergence"] = f"""
+with docs as (
+  select row_number() over () as doc, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source from documents
+), found as (
+  select doc, lang, source,
+    translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')), '{UPPER}', '{LOWER}') as term from docs
+), kept as (
+  select lang, term, count(*) as total from found group by lang, term having count(distinct doc) >= 10
+), counts as (
+  select lang, source, term, count(*) as n from found join kept using (lang, term) group by lang, source, term
+), langs as (
+  select lang, count(*) as v, sum(total) as used from kept group by lang
+), groups as (
+  select g.lang, g.source, coalesce(sum(n), 0) as used
+  from (select distinct lang, source from docs) g left join counts c on c.lang = g.lang and c.source = g.source group by g.lang, g.source
+), shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    cast(1 + 1000000000::hugeint * (coalesce(c.n, 0) + 2) // (g.used + 2 * l.v) as bigint) as p,
+    cast(1 + 1000000000::hugeint * (k.total + 2) // (l.used + 2 * l.v) as bigint) as q
+  from groups g join langs l on l.lang = g.lang join kept k on k.lang = g.lang
+  left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), sums as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(s.value, 0) as bigint) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source
+  union all
+  select lang, source, 'term', term, (p - q) * (p - q) // (p + q) from shares where n > 0 and p > q
+), ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from parts
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10
+"""
