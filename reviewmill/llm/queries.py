@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reviewmill.llm.blob_ledger import Ledger, scan_versions, secret_report
 from reviewmill.llm.common import read_table
 from reviewmill.llm.decontaminate import benchmark_overlaps
 from reviewmill.llm.divergence import LOWER, UPPER, source_divergence
@@ -99,6 +100,12 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_report(periodic_runs(with_planted_runs(read_table(spark, folder, "documents"))))
 
 
+@query
+def op13_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    stage = Stage(spark)
+    return secret_report(scan_versions(read_table(spark, folder, "documents"), Ledger(spark, stage.path("ledger")), stage))
+
+
 ORACLES["op6_norm_sorted_topk"] = """
 with usable as (
   select vec_id, [cast(floor(256 * x::double) as bigint) for x in embedding] as v from embeddings

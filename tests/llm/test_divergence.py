@@ -104,7 +104,7 @@ def test_no_task_gets_a_source(spark, stage):
     """Terms are spread by term; the only exchange by source alone is that of the merged skybands."""
     audit = D.Audit(table(spark, corpus(1)), stage)
     plan = audit.terms()._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("MapInArrow") + plan.count("PythonMapInArrow") >= 3
+    assert plan.count("MapInArrow") >= 3
     lowest = plan[plan.rindex("MapInArrow") :]
     assert "hashpartitioning(lang" not in lowest
 
