@@ -1,18 +1,11 @@
 """SimHash near-duplicates: fingerprints, sharded BK-trees, connected components.
 
 Fingerprints that lie within the radius must agree on certain groups of bits, so every fingerprint
-is filed under several shard keys and only meets the fingerprints of its own shards. A shard is
-searched with BK-trees; a shard above ``BLOCK_ROWS`` is cut into blocks, and the tree of each block
-is sent - by the shuffle, never through the driver, because trees grow with the corpus - to every
-block that has to be searched in it. A task returns the links that hold its groups together, not
-all pairs.
-
-Two searches are built on this:
-
-* ``simhash_classes``: 64 bits, shard keys by the pigeonhole principle. No pair within the radius
-  is missed.
-* ``near_duplicates``: exact Jaccard similarity of shingle sets. 256-bit fingerprints give the
-  candidates and every reported link is verified on the whole shingle sets.
+is filed under several shard keys and only meets the fingerprints of its own shards; by the
+pigeonhole principle no pair is missed. A shard is searched with BK-trees; a shard above ``BLOCK_ROWS``
+is cut into blocks, and the tree of each block is sent - by the shuffle, never through the driver,
+because trees grow with the corpus - to every block that has to be searched in it. A task returns the
+links that hold its groups together, not all pairs.
 """
 
 from __future__ import annotations
@@ -23,10 +16,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reviewmill.llm.bktree import Groups, forest_links
+from reviewmill.llm.bktree import forest_links
 from reviewmill.llm.common import complete_groups, slices, utf8
 from reviewmill.llm.components import connected_components
 from reviewmill.operators.joins import broadcast_if_small
@@ -34,10 +28,7 @@ from reviewmill.staging import Stage
 
 SEED = 42
 BLOCK_ROWS = 1024
-BLOCK_SHINGLES = 200_000
 COUNT_AT_ONCE = 1 << 16
-# Odd constants that turn one hash of a shingle into several.
-MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 # --- shingles and fingerprints --------------------------------------------------------------------
@@ -60,27 +51,19 @@ def shingle_hashes(text: bytes, words: int) -> np.ndarray:
     return np.array([digest(joined[a : b - 1], SEED) for a, b in zip(starts, starts[words:])], np.uint64)
 
 
-def _mixed(hashes: np.ndarray, step: int) -> np.ndarray:
-    if step == 0:
-        return hashes
-    turned = (hashes + np.uint64(step)) * np.uint64(MIX[0])
-    turned ^= turned >> np.uint64(29)
-    turned *= np.uint64(MIX[1])
-    turned ^= turned >> np.uint64(32)
-    return turned * np.uint64(MIX[2])
+def fingerprint(hashes: np.ndarray) -> int:
+    """64 bits; a bit is 1 when it is set in over half of the hashes."""
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(hashes), COUNT_AT_ONCE):
+        part = hashes[start : start + COUNT_AT_ONCE]
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int32)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprint(hashes: np.ndarray, words: int = 1) -> np.ndarray:
-    """``words`` x 64 bits; a bit is 1 when it is set in over half of the hashes."""
-    marks = np.zeros(words, np.uint64)
-    for word in range(words):
-        ones = np.zeros(64, np.int64)
-        for start in range(0, len(hashes), COUNT_AT_ONCE):
-            part = _mixed(hashes[start : start + COUNT_AT_ONCE], word)
-            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones += bits.sum(axis=0, dtype=np.int32)
-        marks[word] = np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0]
-    return marks
+def _prints(texts: pa.Array, shingle_words: int) -> pa.Array:
+    found = [fingerprint(shingle_hashes(t.as_py(), shingle_words)) for t in utf8(texts)]
+    return pa.array(np.array(found, np.uint64).view(np.int64))
 
 
 def fingerprint_table(docs: DataFrame, shingle_words: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -88,40 +71,20 @@ def fingerprint_table(docs: DataFrame, shingle_words: int, key: str = "doc_id",
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = [fingerprint(shingle_hashes(t.as_py(), shingle_words))[0] for t in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(found, np.uint64).view(np.int64))], ["doc_id", "fp0"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _prints(batch.column("text"), shingle_words)], ["doc_id", "fp0"])
 
     source = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return source.mapInArrow(marks, "doc_id bigint, fp0 bigint")
 
 
-def shingle_table(docs: DataFrame, shingle_words: int, fp_words: int = 4) -> DataFrame:
-    """(doc_id, digest, fp0.., shingles): fingerprint of the shingle set, and the set itself.
-
-    ``digest`` tells texts with the same words apart from others. ``shingles`` are the sorted
-    distinct 32-bit hashes as bytes.
-    """
-    names = [f"fp{i}" for i in range(fp_words)]
+def with_fingerprint(docs: DataFrame, name: str, shingle_words: int) -> DataFrame:
+    """``docs`` plus a column of fingerprints."""
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            digests, sets, prints = [], [], []
-            for cell in utf8(batch.column("text")):
-                text = cell.as_py()
-                hashes = np.unique(shingle_hashes(text, shingle_words))
-                digests.append(xxhash.xxh3_128_hexdigest(b" ".join(text.lower().split())))
-                prints.append(fingerprint(hashes, fp_words))
-                sets.append(np.unique(hashes.astype(np.uint32)).tobytes())
-            table = np.array(prints, np.uint64).view(np.int64)
-            columns = [batch.column("doc_id"), pa.array(digests, pa.string())]
-            columns += [pa.array(np.ascontiguousarray(table[:, i])) for i in range(fp_words)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], ["doc_id", "digest", *names, "shingles"])
-
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    kinds = ", ".join(f"{n} bigint" for n in names)
-    return source.mapInArrow(marks, f"doc_id bigint, digest string, {kinds}, shingles binary")
+            yield batch.append_column(name, _prints(batch.column("text"), shingle_words))
+
+    return docs.mapInArrow(marks, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 # --- shards ------------------------------------------------------------------------------------------
@@ -135,12 +98,6 @@ def pigeonhole_keys(bits: int, radius: int, agree: int = 2) -> list[list[int]]:
     return [sum(chosen, []) for chosen in combinations(runs, agree)]
 
 
-def sampled_keys(bits: int, key_bits: int, count: int, seed: int = 7) -> list[list[int]]:
-    """``count`` random sets of ``key_bits`` bit positions, fixed by ``seed``."""
-    draw = np.random.default_rng(seed)
-    return [sorted(map(int, draw.choice(bits, key_bits, replace=False))) for _ in range(count)]
-
-
 def _words_of(batch) -> np.ndarray:
     names = [n for n in batch.schema.names if n.startswith("fp")]
     columns = [batch.column(n).to_numpy() for n in names]
@@ -203,15 +160,11 @@ def near_links(nodes: DataFrame, keys: Sequence[Sequence[int]], radius: int, blo
     return ordered.mapInArrow(search_shards, "a bigint, b bigint")
 
 
-def simhash_classes(docs: DataFrame, stage: Stage, shingle_words: int = 5, radius: int = 4) -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row per row of ``docs``.
+def fingerprint_classes(marks: DataFrame, stage: Stage, radius: int) -> DataFrame:
+    """(fp0, class, component_id) per distinct fingerprint of ``marks`` (doc_id, fp0).
 
-    Fingerprints at ``radius`` or fewer differing bits are linked; ``component_id`` is the smallest
-    doc_id reachable. Null and blank texts have fingerprint zero and are linked like any other.
-    Rows with a null doc_id are classified, but never name a class (null when there is no other).
-    Repeated rows are repeated in the result; other columns are ignored.
+    ``component_id`` is the smallest doc_id of the class, null when no row of it has one.
     """
-    marks = stage.put(fingerprint_table(docs, shingle_words), "fingerprints")
     distinct = stage.put(
         marks.groupBy("fp0").agg(F.min("doc_id").alias("least")).withColumn("id", F.col("fp0")), "distinct_fingerprints"
     )
@@ -221,124 +174,42 @@ def simhash_classes(docs: DataFrame, stage: Stage, shingle_words: int = 5, radiu
         "fp0", "least", F.coalesce("component", "id").alias("class")
     )
     named = classes.groupBy("class").agg(F.min("least").alias("component_id"))
-    named = classes.join(named, "class").select("fp0", "component_id")
-    hexed = F.lpad(F.lower(F.hex("fp0")), 16, "0")
-    return marks.join(named, "fp0").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    return classes.join(named, "class").select("fp0", "class", "component_id")
 
 
-# --- exact similarity ------------------------------------------------------------------------------
-
-def similar_groups(sets: Sequence[np.ndarray], one: np.ndarray, two: np.ndarray, similarity: float, at_once: int = 4096) -> np.ndarray:
-    """Group label per set: sets of ``one`` and ``two`` with Jaccard >= ``similarity`` are linked.
-
-    Common shingles are counted by products of 0/1 matrices, some thousand shingles at a time.
-    """
-    n = len(sets)
-    groups = Groups(n)
-    a, b = np.flatnonzero(one), np.flatnonzero(two)
-    size = np.array([len(s) for s in sets], np.int64)
-    row = np.repeat(np.arange(n), size)
-    if len(row):
-        _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        useful = seen[column] > 1
-        row, column = row[useful], column[useful]
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-    common = np.zeros((len(a), len(b)), np.float32)
-    start = 0
-    while start < len(row):
-        stop = int(np.searchsorted(column, column[start] + at_once, "left"))
-        dense = np.zeros((n, at_once), np.float32)
-        dense[row[start:stop], column[start:stop] - column[start]] = 1
-        common += dense[a] @ dense[b].T
-        start = stop
-    union = size[a][:, None] + size[b][None, :] - common
-    near_a, near_b = np.nonzero(common >= similarity * union - 1e-6)
-    groups.join(a[near_a], b[near_b])
-    return groups.label
-
-
-def verified_links(members: DataFrame, similarity: float, block_rows: int = 512, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """(a, b): links that hold together the ids of a component whose sets are similar enough.
-
-    ``members`` (component, id, shingles). Large components are cut into blocks by rows and by
-    shingles, so a task holds two blocks whatever the component's size.
-    """
-    sizes = members.groupBy("component").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum(F.octet_length("shingles")) / (4 * block_shingles))
-        ).cast("bigint").alias("blocks")
-    )
-    dealt = block_pairs(members.join(sizes, "component"), ["component"], "blocks")
+def simhash_classes(docs: DataFrame, stage: Stage, shingle_words: int = 4, radius: int = 4) -> DataFrame:
+    """(doc_id, fingerprint, component_id), one row per row of ``docs``.
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in complete_groups(batches, "shard"):
-            shard = table.column("shard").to_numpy()
-            ids = table.column("id").to_numpy()
-            one, two = (table.column(c).to_numpy(zero_copy_only=False) for c in ("one", "two"))
-            cells = table.column("shingles")
-            edges = np.concatenate([[0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(shard)]])
-            for start, stop in zip(edges[:-1], edges[1:]):
-                sets = [np.frombuffer(cells[i].as_py(), np.uint32) for i in range(start, stop)]
-                label = similar_groups(sets, one[start:stop], two[start:stop], similarity)
-                row = np.flatnonzero(label != np.arange(len(label)))
-                own = ids[start:stop]
-                yield pa.RecordBatch.from_arrays([pa.array(own[row]), pa.array(own[label[row]])], ["a", "b"])
-
-    ordered = dealt.select("shard", "id", "one", "two", "shingles").repartition("shard").sortWithinPartitions("shard")
-    return ordered.mapInArrow(verify, "a bigint, b bigint")
-
-
-def near_duplicates(
-    docs: DataFrame,
-    stage: Stage,
-    shingle_words: int = 5,
-    similarity: float = 0.8,
-    radius: int = 56,
-    key_bits: int = 24,
-    key_count: int = 100,
-) -> DataFrame:
-    """(doc_id, component_id) for every distinct doc_id: documents linked by similar shingle sets.
-
-    Texts with the same words are one class without any search. The others meet when their
-    256-bit fingerprints agree on all bits of one of ``key_count`` keys and differ in at most
-    ``radius`` bits. At a similarity of 0.8, 0.85 and 0.9 about 15, 13 and 10 % of the bits differ, so
-    a pair is met with a chance of 0.86, 0.97 and 0.999; keys of 24 bits keep strangers apart until
-    there are millions of texts. A link needs a Jaccard similarity of at least
-    ``similarity`` on the whole sets. Rows with a null doc_id take no part; texts of one doc_id
-    are one document; null texts count as empty, and empty texts are copies of each other.
+    Fingerprints at ``radius`` or fewer differing bits are linked; ``component_id`` is the smallest
+    doc_id reachable. Null and blank texts have fingerprint zero and are linked like any other.
+    Rows with a null doc_id are classified, but never name a class (null when there is no other).
+    Repeated rows are repeated in the result; other columns are ignored.
     """
-    marks = stage.put(shingle_table(docs.filter(F.col("doc_id").isNotNull()), shingle_words), "shingles")
-    names = [c for c in marks.columns if c.startswith("fp")]
-    texts = marks.groupBy("digest").agg(F.min("doc_id").alias("id"), *[F.min(n).alias(n) for n in names])
-    nodes = stage.put(texts, "texts")
-    links = near_links(nodes, sampled_keys(64 * len(names), key_bits, key_count), radius)
-    candidates = stage.put(connected_components(links, "a", "b", stage), "candidates")
-    members = nodes.join(candidates, nodes["id"] == candidates["node"]).select("component", "id", "digest")
-    sets = marks.select(F.col("doc_id").alias("id"), "digest", "shingles")
-    members = stage.put(members.join(sets, ["id", "digest"]).select("component", "id", "shingles"), "members")
-    exact = stage.put(verified_links(members, similarity), "verified")
-    copies = marks.join(nodes.select("digest", "id"), "digest").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    parts = connected_components(exact.unionByName(copies), "a", "b", stage)
-    ids = marks.select("doc_id").distinct()
-    return ids.join(parts, ids["doc_id"] == parts["node"], "left").select(
-        "doc_id", F.coalesce("component", "doc_id").alias("component_id")
-    )
+    marks = stage.put(fingerprint_table(docs, shingle_words), "fingerprints")
+    named = fingerprint_classes(marks, stage, radius).select("fp0", "component_id")
+    hexed = F.lpad(F.lower(F.hex("fp0")), 16, "0")
+    return marks.join(named, "fp0").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, stage: Stage, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each class of ``near_duplicates``: the smallest doc_id.
+def drop_near_duplicates(docs: DataFrame, stage: Stage, shingle_words: int = 4, radius: int = 4) -> DataFrame:
+    """``docs`` with one document of each class of ``simhash_classes``: the one with the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays. Rows with a null doc_id cannot be told apart from
-    the others by id and all stay. All columns are kept as they are.
+    Of several rows with that id, and in a class without ids, one stays, the same one in every run. All columns
+    are kept as they are. Rows that have an id of their own are judged by id, so no text
+    moves for them; only rows without such an id are looked at again.
     """
-    classes = stage.put(near_duplicates(docs, stage, shingle_words, similarity), "classes")
-    gone = stage.put(classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
-    repeated = stage.put(
-        docs.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again"),
-        "repeated_ids",
-    )
-    kept = docs.join(broadcast_if_small(gone), docs["doc_id"] == gone["_gone"], "left_anti")
-    once = kept.join(broadcast_if_small(repeated), kept["doc_id"] == repeated["_again"], "left_anti")
-    again = kept.join(broadcast_if_small(repeated), kept["doc_id"] == repeated["_again"], "left_semi")
-    return once.unionByName(again.dropDuplicates(["doc_id"]))
+    marks = stage.put(fingerprint_table(docs, shingle_words), "fingerprints")
+    classes = stage.put(fingerprint_classes(marks, stage, radius), "classes")
+    judged = marks.join(classes, "fp0")
+    gone = stage.put(judged.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    repeated = marks.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1")
+    repeated = broadcast_if_small(stage.put(repeated.select("_again"), "repeated_ids"))
+    again = docs["doc_id"] == F.col("_again")
+    once = docs.filter(docs["doc_id"].isNotNull()).join(repeated, again, "left_anti")
+    once = once.join(broadcast_if_small(gone), once["doc_id"] == F.col("_gone"), "left_anti")
+    others = docs.filter(docs["doc_id"].isNull()).unionByName(docs.join(repeated, again, "left_semi"))
+    sides = classes.select(F.col("fp0").alias("_other"), F.col("class").alias("_class"), F.col("component_id").alias("_least"))
+    others = with_fingerprint(others, "_print", shingle_words).join(sides, F.col("_print") == F.col("_other"))
+    first = Window.partitionBy("_class").orderBy(F.xxhash64("text"), "text")
+    others = others.filter(F.col("doc_id").eqNullSafe(F.col("_least"))).withColumn("_place", F.row_number().over(first))
+    return once.unionByName(others.filter("_place = 1").select(*docs.columns))

@@ -8,9 +8,11 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from reviewmill.llm import simhash as S
 from reviewmill.llm.bktree import build, forest_links, search
 from reviewmill.llm.components import connected_components
+from reviewmill.llm.queries import QUERIES
 from tests.llm.data import DOC_SCHEMA, documents, prose, union_find
 
 
@@ -30,7 +32,7 @@ TEXTS = {
 def test_fingerprint_matches_plain_python():
     for k in (4, 5):
         for text in TEXTS.values():
-            assert int(S.fingerprint(S.shingle_hashes((text or "").encode(), k))[0]) == plain_fingerprint(text, k)
+            assert S.fingerprint(S.shingle_hashes((text or "").encode(), k)) == plain_fingerprint(text, k)
 
 
 def test_trees_find_what_brute_force_finds():
@@ -96,55 +98,41 @@ def test_rows_without_id(spark, stage):
     assert got == {(None, None), (None, 4), (4, 4)}
 
 
-def jaccard(a, b, k=5):
-    def shingles(t):
-        w = (t or "").lower().split()
-        return {" ".join(w)} if 0 < len(w) <= k else {" ".join(w[i : i + k]) for i in range(len(w) - k + 1)}
-
-    x, y = shingles(a), shingles(b)
-    return 1.0 if not x and not y else len(x & y) / max(1, len(x | y))
-
-
-def near_texts(copies=7):
-    texts = {1: None, 2: "", 3: "Short text", 4: "short TEXT"}
+def test_one_of_each_class_stays(spark, stage):
+    texts = dict(TEXTS)
     for group in range(5):
-        words = prose(100 + group, 200)
-        for copy in range(copies):
+        words = prose(100 + group, 400)
+        for copy in range(4):
             changed = list(words)
-            for at in random.Random(copy + 31 * group).sample(range(200), copy):
+            for at in random.Random(copy + 31 * group).sample(range(400), copy):
                 changed[at] = f"new{copy}"
             texts[100 + group * 10 + copy] = " ".join(changed)
-    for i in range(20):
-        texts[300 + i] = " ".join(prose(900 + i, 80))
-    return texts
-
-
-def test_near_duplicates_against_exact_similarity(spark, stage):
-    texts = near_texts()
-    got = {r["doc_id"]: r["component_id"] for r in S.near_duplicates(documents(spark, texts), stage).collect()}
-    true = union_find([(a, b) for a, b in combinations(texts, 2) if jaccard(texts[a], texts[b]) >= 0.8], texts)
-    sure = [(a, b) for a, b in combinations(texts, 2) if jaccard(texts[a], texts[b]) >= 0.85]
-    assert all(true[a] == true[got[a]] for a in texts)  # no class joins what similarity does not
-    assert all(got[a] == got[b] for a, b in sure)
-
-
-@pytest.mark.parametrize("rows,shingles", [(512, 200_000), (2, 200_000), (512, 150)])
-def test_blocks_of_a_component_see_every_pair(spark, stage, rows, shingles):
-    sets = {i: np.unique(np.random.default_rng(i // 4).integers(0, 2**32, 60, dtype=np.uint32)) for i in range(24)}
-    members = spark.createDataFrame([(7, i, bytearray(s.tobytes())) for i, s in sets.items()], "component bigint, id bigint, shingles binary")
-    links = [(r["a"], r["b"]) for r in S.verified_links(members, 0.8, rows, shingles).collect()]
-    assert union_find(links, sets) == {i: i // 4 * 4 for i in sets}
-
-
-def test_one_of_each_group_stays(spark, stage):
-    texts = near_texts(4)
-    docs = documents(spark, texts).withColumn("digest", F.lit("d")).withColumn("b", F.lit(1))
-    docs = docs.unionByName(docs.filter("doc_id = 100")).unionByName(docs.filter("doc_id = 3").withColumn("doc_id", F.lit(None).cast("bigint")))
-    kept = S.drop_near_duplicates(docs, stage)
+    # Ids given twice: copies of one text, and two texts of which one is in the class of a smaller id.
+    twice = [(100, texts[100]), (7, texts[7]), (102, "a text of its own"), (400, texts[110]), (400, "another text of its own")]
+    nameless = [(None, texts[3]), (None, texts[120]), (None, "seen only here"), (None, "seen only  HERE"), (None, "and this one")]
+    rows = [*texts.items(), *twice, *nameless]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], DOC_SCHEMA)
+    docs = docs.withColumn("class", F.lit("c")).withColumn("fp0", F.lit(1)).withColumn("component_id", F.lit(2))
+    prints = [plain_fingerprint(t, 4) for _, t in rows]
+    parts = union_find([(a, b) for a, b in combinations(range(len(rows)), 2) if (prints[a] ^ prints[b]).bit_count() <= 4], range(len(rows)))
+    expected = {}
+    for n, (i, _) in enumerate(rows):
+        expected.setdefault(parts[n], []).append(i)
+    expected = [min((i for i in ids if i is not None), default=None) for ids in expected.values()]
+    kept = S.drop_near_duplicates(docs, stage, 4, 4)
     assert kept.columns == docs.columns
-    ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({1, 3} | {100 + 10 * g for g in range(5)} | {300 + i for i in range(20)})
-    assert ids.count(None) == 1
+    got = kept.collect()
+    assert sorted((r["doc_id"] for r in got), key=str) == sorted(expected, key=str)
+    assert len({parts[rows.index((r["doc_id"], r["text"]))] for r in got}) == len(got)
+    assert [r["text"] for r in got if r["doc_id"] in (400, 102)] .count("a text of its own") == 1
+
+
+def test_stage_calls_the_operator(spark, stage):
+    """The pipeline's stage keeps the ids that op2 names its classes by."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, folder).select("doc_id").collect()}
+    assert kept == {r["component_id"] for r in QUERIES["op2_simhash_bktree"](spark, folder).select("component_id").collect()}
 
 
 def test_empty_table(spark, stage):
