@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies (five-word shingles, Jaccard 0.8)."""
-    return drop_near_duplicates(docs, Stage(spark))
+    """One document of each SimHash class (four-word shingles, at most four differing bits)."""
+    return drop_near_duplicates(docs, Stage(spark), shingle_words=4, radius=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
