@@ -202,12 +202,17 @@ def cube_mix(
 def mix_documents(docs: DataFrame, stage: Stage, **options) -> DataFrame:
     """The documents that the mix takes, with ``copies``: how often each one goes in.
 
-    Also size, source_size, target and taken; a column of ``docs`` with such a name gives way.
-    Rows with a null doc_id count in the mix of their source but cannot be delivered by id.
+    Also size, source_size, target and taken; a column of ``docs`` with such a name gives way. Every row is a
+    document of its own: when some doc_id is null or repeated, rows are stored with numbers and drawn by those
+    (reruns agree as long as no id is null or repeated).
     """
-    mixed = cube_mix(docs, stage, **options).filter("copies > 0 and doc_id is not null").drop("source")
-    mixed = stage.put(mixed.withColumnRenamed("doc_id", "_taken_id"), "mixed")
-    added = [c for c in mixed.columns if c != "_taken_id"]
-    plain = docs.drop(*added)
-    chosen = mixed.groupBy("_taken_id").agg(*[F.max(c).alias(c) for c in added])
-    return plain.join(broadcast_if_small(stage.put(chosen, "chosen")), plain["doc_id"] == F.col("_taken_id")).drop("_taken_id")
+    unclear = docs.groupBy("doc_id").count().filter("doc_id is null or count > 1")
+    if unclear.isEmpty():
+        numbered = docs.withColumn("_row", F.col("doc_id").cast("bigint"))
+    else:
+        numbered = stage.put(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    rows = numbered.select(F.col("_row").alias("doc_id"), "source", "text")
+    mixed = cube_mix(rows, stage, **options).filter("copies > 0").drop("source").withColumnRenamed("doc_id", "_taken")
+    mixed = stage.put(mixed, "mixed")
+    plain = numbered.drop(*[c for c in mixed.columns if c != "_taken"])
+    return plain.join(broadcast_if_small(mixed), F.col("_row") == F.col("_taken")).drop("_row", "_taken")

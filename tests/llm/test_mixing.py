@@ -5,6 +5,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from reviewmill.llm import mixing as M
 from tests.llm.data import DOC_SCHEMA
 
@@ -107,3 +109,19 @@ def test_delivered_documents(spark, stage):
     rows = out.collect()
     assert rows and all(r["copies"] > 0 and r["note"] == "keep" and r["target"] != "old" for r in rows)
     assert len({r["doc_id"] for r in rows}) == len(rows)
+
+
+def test_documents_without_or_with_repeated_ids_are_delivered(spark, stage):
+    _, docs = corpus(spark, {"a": 60, "b": 60, "c": 60})
+    ids = F.when(F.col("doc_id") % 3 == 0, None).when(F.col("doc_id") % 7 == 0, F.lit(7)).otherwise(F.col("doc_id"))
+    before = docs.count()
+    out = M.mix_documents(docs.withColumn("doc_id", ids), stage).collect()
+    assert len(out) <= before and any(r["doc_id"] is None for r in out)
+    taken = {}
+    for r in out:
+        assert r["taken"] == r["copies"] * r["size"] and r["size"] == len(r["text"].split())
+        taken.setdefault((r["source"], r["target"]), 0)
+        taken[r["source"], r["target"]] += r["taken"]
+    assert len(taken) == 3
+    for (_, target), words in taken.items():
+        assert abs(words - target) <= 0.05 * target
