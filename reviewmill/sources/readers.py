@@ -5,31 +5,45 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.functions.text import NA_VALUES, missing_to_null
 from reviewmill.schemas import INGEST_ORDER, NULL_MARK, RAW_REVIEWS
+from reviewmill.sources.quoted_csv import read_quoted_csv
+from reviewmill.staging import Stage
 
 
+CSV_OPTIONS = {
+    "nullValue": NULL_MARK, "quote": '"', "escape": '"',
+    "timestampNTZFormat": "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSSSSS][.SSS]",
+}
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool | str = True, stage: Stage | None = None, keep_order: bool = False
+) -> DataFrame:
     """A CSV table as ``write_table`` writes it: empty text and null are told apart.
 
-    With ``multi_line`` a text may hold line breaks, but a file is read by a single task; many files,
-    or files without such texts and ``multi_line=False``, are read in parallel.
+    With ``multi_line`` a text may hold line breaks; files are still read by many tasks (``quoted_csv``), and the
+    records are stored in ``stage``. Without it every line is a row. ``"one task"`` reads a file by a single task,
+    for files with quote marks inside unquoted cells. ``keep_order`` adds the columns of ``INGEST_ORDER``.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("nullValue", NULL_MARK)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("timestampNTZFormat", "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSSSSS][.SSS]")
-        .csv(path)
-    )
+    if multi_line is True:
+        rows = read_quoted_csv(spark, path, schema, CSV_OPTIONS, stage or Stage(spark))
+        return rows if keep_order else rows.select(*schema.names)
+    rows = spark.read.schema(schema).options(header=True, multiLine=bool(multi_line), **CSV_OPTIONS).csv(path)
+    return rows.select("*", *_places()) if keep_order else rows
+
+
+def _places() -> list[Column]:
+    """Where a row of a file source stands."""
+    return [
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    ]
 
 
 def read_raw_reviews(
@@ -38,28 +52,20 @@ def read_raw_reviews(
     fmt: str = "csv",
     na_values: Sequence[str] = NA_VALUES,
     keep_order: bool = True,
-    multi_line: bool = True,
+    multi_line: bool | str = True,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Raw reviews with a fixed schema; texts in ``na_values`` become null in CSV sources.
 
     ``keep_order`` adds the columns of ``INGEST_ORDER``, by which ``keep_first`` lets the first copy in
     file order survive.
     """
-    if fmt == "csv":
-        # Read as text first, so that a missing mark in a numeric column is null as well.
-        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_REVIEWS.fields])
-        raw = read_csv(spark, path, texts, multi_line)
-    else:
-        raw = spark.read.schema(RAW_REVIEWS).format(fmt).load(path)
-    order = []
-    if keep_order:
-        order = [
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_row"),
-        ]
     if fmt != "csv":
-        return raw.select(*RAW_REVIEWS.names, *order)
+        raw = spark.read.schema(RAW_REVIEWS).format(fmt).load(path)
+        return raw.select(*RAW_REVIEWS.names, *(_places() if keep_order else []))
+    # Read as text first, so that a missing mark in a numeric column is null as well.
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_REVIEWS.fields])
+    raw = read_csv(spark, path, texts, multi_line, stage, keep_order)
 
     def typed(field: T.StructField):
         text = missing_to_null(F.col(field.name), na_values)
@@ -67,13 +73,15 @@ def read_raw_reviews(
             return text.cast("double").cast("int").alias(field.name)
         return text.cast(field.dataType).alias(field.name)
 
-    return raw.select(*[typed(f) for f in RAW_REVIEWS.fields], *order)
+    return raw.select(*[typed(f) for f in RAW_REVIEWS.fields], *(INGEST_ORDER if keep_order else []))
 
 
-def read_cleaned(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A stored cleaned table with typed dates."""
+def read_cleaned(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", multi_line: bool | str = True, stage: Stage | None = None
+) -> DataFrame:
+    """A stored cleaned table with typed dates; the last two arguments are those of ``read_csv``."""
     if fmt == "csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, multi_line, stage)
     return spark.read.schema(schema).format(fmt).load(path)
 
 
