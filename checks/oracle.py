@@ -72,6 +72,7 @@ def sentiment_ctes(source: str, rules=S.RULES, prefix: str = "s_", terms=dict(S.
     known = set(terms)
     strong, weak = ([w for w in ws if w not in known] for ws in (S.STRENGTHENERS, S.WEAKENERS))
     negations = [w for w in S.NEGATIONS if w not in known]
+    listed = in_list(known)
     lexicon = [(t, v) for t, v in terms.items() if t not in S.STRENGTHENERS + S.WEAKENERS]
     ctes = {
         f"{p}lexicon": "select term, valence from (values "
@@ -87,12 +88,22 @@ def sentiment_ctes(source: str, rules=S.RULES, prefix: str = "s_", terms=dict(S.
         + ", ".join(
             f"case when f.pos >= {n} then {bare(f'd.w[f.pos + 1 - {n}]')} else '' end as back{n}" for n in (1, 2, 3)
         )
+        + "".join(f", lower(coalesce({bare(f'd.w[f.pos + 1 + {n}]')}, '')) as next{n}" for n in (1, 2))
         + f" from {p}found f join {p}docs d on f.review_id = d.review_id left join {p}but b on f.review_id = b.review_id",
     }
     value = "valence"
+    if "no" in rules:
+        value = (
+            f"case when b1 = 'no' or b2 = 'no' or (b3 = 'no' and b1 in ('or', 'nor')) then valence * (-0.74)::double "
+            f"when lower(bare) = 'no' and next1 in {listed} then 0::double else valence end"
+        )
+    lowered = ", ".join(f"lower(back{n}) as b{n}" for n in (1, 2, 3))
+    step = f"select *, {value} as v from (select *, {lowered} from {p}hits)"
     if "capitals" in rules:
-        value = f"case when {caps('bare')} and mixed then valence + (case when valence > 0 then 0.733 else -0.733 end)::double else valence end"
-    step = f"select *, {value} as v from {p}hits"
+        step = (
+            f"select * replace (case when {caps('bare')} and mixed then v + (case when v > 0 then 0.733 else -0.733 end)::double else v end as v) from ({step})"
+        )
+    far = f"pos >= 3 and b3 not in {listed}"
     for n, damping in ((1, "1.0"), (2, "0.95"), (3, "0.9")):
         word = f"lower(back{n})"
         if "degree" in rules:
@@ -103,9 +114,32 @@ def sentiment_ctes(source: str, rules=S.RULES, prefix: str = "s_", terms=dict(S.
                 f"select * replace (v + (case when v < 0 then -{push} else {push} end + "
                 f"case when v > 0 then {loud} else -{loud} end) * {damping}::double as v) from ({step})"
             )
+        near = f"b{n}"
+        between = [f"b{k}" for k in range(1, n)]
+        cases = []
+        if "never_so" in rules and n > 1:
+            never = f"{near} = 'never'" if "never" not in known else "false"
+            cases.append(f"when {never} and {between[-1]} in ('so', 'this')" + (f" or {far} and b1 in ('so', 'this')" if n == 3 else "") + " then v * 1.25::double")
+        if "without_doubt" in rules and n > 1 and "without" not in known:
+            cases.append(f"when {near} = 'without' and 'doubt' in ({', '.join(between)}) then v")
         if "negation" in rules:
-            flips = f"{word} in {in_list(negations)} or contains({word}, 'n''t')"
-            step = f"select * replace (case when {flips} then v * (-0.74)::double else v end as v) from ({step})"
+            cases.append(f"when {word} in {in_list(negations)} or contains({word}, 'n''t') then v * (-0.74)::double")
+        if cases:
+            step = f"select * replace (case {' '.join(cases)} else v end as v) from ({step})"
+    if "phrases" in rules:
+        idioms = "case {} " + " ".join(f"when {quoted(i)} then {v}::double" for i, v in S.IDIOMS) + " end"
+        word = "lower(bare)"
+        before = ["b1 || ' ' || {w}", "b2 || ' ' || b1 || ' ' || {w}", "b2 || ' ' || b1", "b3 || ' ' || b2 || ' ' || b1", "b3 || ' ' || b2"]
+        found = ", ".join(idioms.format(x.format(w=word)) for x in before)
+        behind = ", ".join(idioms.format(x) for x in (f"{word} || ' ' || next1 || ' ' || next2", f"{word} || ' ' || next1"))
+        weak = " + ".join(f"(case when {x} in {in_list(S.WEAK_PHRASES)} then 0.293 else 0 end)::double" for x in ("b3 || ' ' || b2",))
+        weaker = "(case when b2 || ' ' || b1 in " + in_list(S.WEAK_PHRASES) + " then 0.293 else 0 end)::double"
+        step = (
+            f"select * replace (case when {word} = 'kind' and next1 = 'of' then 0::double when {far} "
+            f"then coalesce({behind}, {found}, v) - {weak} - {weaker} else v end as v) from ({step})"
+        )
+    if "least" in rules and "least" not in known:
+        step = f"select * replace (case when b1 = 'least' and b2 not in ('at', 'very') then v * (-0.74)::double else v end as v) from ({step})"
     if "but" in rules:
         step = (
             "select * replace (v * (case when pos < but_at then 0.5 when pos > but_at then 1.5 else 1 end)::double as v) "

@@ -332,6 +332,38 @@ for _rule in ((), ("capitals",), ("degree",), ("negation",), ("but",), ("punctua
         O.sentiment_ctes("trimmed", _rule, f"{_name}_"),
     )
 
+
+# Reviews rarely hold a phrase of the scorer, so one is put before each text; terms that phrases need are added.
+PHRASES = (
+    "the app was never so good", "it is without doubt great", "no good and no great help", "the least helpful update", "at least it is fun",
+    "this is really kind of slow", "the update is to die for", "such a broken heart", "so this one so nice", "neither no bug or problem", "plain words",
+)
+PHRASE_TERMS = dict(S.SAMPLE_LEXICON) | {"no": -1.2, "kind": 2.4, "heart": 3.2, "die": -2.9}
+_PHRASED = "'' || case cast(substr(review_id, 2) as bigint) % {n} {whens} end || ' ' || review_text".format(
+    n=len(PHRASES), whens=" ".join(f"when {i} then '{p}'" for i, p in enumerate(PHRASES))
+)
+
+
+def _phrased(rules, join: bool = False) -> Callable[[Workspace], DataFrame]:
+    def build(w: Workspace) -> DataFrame:
+        docs = w.cleaned.select("review_id", F.expr(_PHRASED).alias("review_text"))
+        lexicon = docs.sparkSession.createDataFrame(list(PHRASE_TERMS.items()), "term string, valence double")
+        if join:
+            return S.with_all(docs.select("review_id"), S.score_by_join(docs, "review_id", "review_text", lexicon, rules), "review_id")
+        return S.with_sentiment(docs, "review_id", "review_text", lexicon, rules).drop("review_text")
+
+    return build
+
+
+for _name, _rules, _join in (
+    ("phrases", S.RULES, False), ("phrases_by_join", S.RULES, True), ("no_only", ("no",), False), ("least_only", ("least",), False),
+    ("never_so_only", ("never_so",), False), ("without_doubt_only", ("without_doubt", "negation"), False), ("phrases_only", ("phrases",), False),
+):
+    on_workspace(
+        f"n1_{_name}", _phrased(_rules, _join), "select review_id, sentiment_score from p_score",
+        {"phrased": f"select review_id, {_PHRASED} as review_text from trimmed"} | O.sentiment_ctes("phrased", _rules, "p_", PHRASE_TERMS),
+    )
+
 # --- joins ----------------------------------------------------------------------------------------
 
 on_workspace("j1_app_key", lambda w: ST.attach_app(w.cleaned, w.star.dim_app).select("review_id", "app_key"), "select review_id, app_key from fact")

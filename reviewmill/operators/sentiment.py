@@ -55,6 +55,17 @@ WEAKENERS: tuple[str, ...] = (
     "slightly", "somewhat", "sorta", "sortof", "sort-of",
 )
 
+# Phrases with a valence of their own, once a word of theirs is a lexicon term.
+IDIOMS: tuple[tuple[str, float], ...] = (
+    ("the shit", 3.0), ("the bomb", 3.0), ("bad ass", 1.5), ("bus stop", 0.0), ("yeah right", -2.0),
+    ("kiss of death", -1.5), ("to die for", 3.0), ("beating heart", 3.1), ("broken heart", -2.9),
+)
+
+# Weakening phrases; "never" before one of EMPHATIC strengthens by NEVER_SO.
+WEAK_PHRASES: tuple[str, ...] = ("just enough", "kind of", "sort of")
+EMPHATIC: tuple[str, ...] = ("so", "this")
+NEVER_SO = 1.25
+
 # ASCII punctuation.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -162,10 +173,44 @@ def but_position(lower_bare_words: Column) -> Column:
 
 # --- rules -------------------------------------------------------------------------------------
 
-RULES = ("capitals", "degree", "negation", "but", "punctuation")
+RULES = ("capitals", "degree", "negation", "but", "punctuation", "no", "least", "never_so", "without_doubt", "phrases")
 Hit = Callable[[str], Column]
 
 
+def _words_before(hit: Hit) -> list[Column]:
+    """The three words before a hit in lower case, the nearest first."""
+    return [F.lower(hit(f"back{d}")) for d in range(1, LOOK_BACK + 1)]
+
+
+def _factor(hit: Hit, distance: int, negating: Column, rules: Sequence[str], inert: Sequence[str]) -> Column:
+    """What the word ``distance`` words before a hit multiplies its value by.
+
+    "never so good" and "never this good" strengthen and "without doubt" is no negation. The published
+    model tests the words next to a hit for "so" and "this" without asking for "never" when it looks three
+    words back; scores are to agree with it, so this is kept.
+    """
+    back = _words_before(hit)
+    factor = F.when(negating, NEGATION_FACTOR) if "negation" in rules else F.when(F.lit(False), 1.0)
+    if "without_doubt" in rules and distance > 1 and "without" not in inert:
+        doubt = back[0] == "doubt" if distance == 2 else (back[0] == "doubt") | (back[1] == "doubt")
+        factor = F.when((back[distance - 1] == "without") & doubt, 1.0).otherwise(factor.otherwise(1.0))
+    else:
+        factor = factor.otherwise(1.0)
+    if "never_so" in rules:
+        never = F.lit("never" not in inert) & (back[distance - 1] == "never")
+        if distance == 2:
+            factor = F.when(never & back[0].isin(*EMPHATIC), NEVER_SO).otherwise(factor)
+        if distance == 3:
+            so = (never & back[1].isin(*EMPHATIC)) | (_far_enough(hit) & back[0].isin(*EMPHATIC))
+            factor = F.when(so, NEVER_SO).otherwise(factor)
+    return factor
+
+
+def _far_enough(hit: Hit) -> Column:
+    """The word three words before a hit exists and is no lexicon term."""
+    return (hit("at") >= LOOK_BACK) & ~hit("known3")
+
+
 def _neighbour(hit: Hit, distance: int, rules: Sequence[str], inert: Sequence[str]) -> Column:
     """What the word ``distance`` words before a hit does to it: push, loudness, damping, factor."""
     near = hit(f"back{distance}")
@@ -175,12 +220,11 @@ def _neighbour(hit: Hit, distance: int, rules: Sequence[str], inert: Sequence[st
     negating = word.isin(*[w for w in NEGATIONS if w not in inert]) | F.contains(word, F.lit("n't"))
     push = F.when(strong, BOOST).when(weak, -BOOST).otherwise(0.0)
     loud = F.when((strong | weak) & is_capitals(near) & hit("mixed"), CAPS_BOOST).otherwise(0.0)
-    factor = F.when(negating, NEGATION_FACTOR).otherwise(1.0)
     return F.struct(
         (push if "degree" in rules else F.lit(0.0)).alias("push"),
         (loud if "degree" in rules else F.lit(0.0)).alias("loud"),
         F.lit(DISTANCE_DAMPING[distance - 1]).alias("damping"),
-        (factor if "negation" in rules else F.lit(1.0)).alias("factor"),
+        _factor(hit, distance, negating, rules, inert).alias("factor"),
     )
 
 
@@ -191,19 +235,56 @@ def _pushed(value: Column, near: Column) -> Column:
     return (value + (push + loud) * near["damping"]) * near["factor"]
 
 
+def _idiom(words: Sequence[Column], otherwise: Column) -> Column:
+    """Value of the idiom that ``words`` are, if they are one."""
+    listed = {phrase: worth for phrase, worth in IDIOMS if len(phrase.split()) == len(words)}
+    found = F.element_at(F.create_map(*[F.lit(x) for pair in listed.items() for x in pair]), F.concat_ws(" ", *words))
+    return F.coalesce(found, otherwise)
+
+
+def _with_phrases(hit: Hit, value: Column) -> Column:
+    """Idioms around a hit replace its value, weakening phrases before it lower it.
+
+    Of the idioms before and up to the hit the first of the order below counts; one that goes on behind the hit
+    replaces what came before. Looked for when the word three words before is no lexicon term.
+    """
+    b1, b2, b3 = _words_before(hit)
+    word, n1, n2 = (F.lower(hit(name)) for name in ("bare", "next1", "next2"))
+    changed = value
+    for words in reversed(((b1, word), (b2, b1, word), (b2, b1), (b3, b2, b1), (b3, b2))):
+        changed = _idiom(words, changed)
+    changed = _idiom((word, n1, n2), _idiom((word, n1), changed))
+    for words in ((b3, b2), (b2, b1)):
+        weak = F.concat_ws(" ", *words).isin(*WEAK_PHRASES)
+        changed = changed - F.when(weak, BOOST).otherwise(0.0)
+    changed = F.when(_far_enough(hit), changed).otherwise(value)
+    # "kind of" is a phrase and no kindness.
+    return F.when((word == "kind") & (n1 == "of"), 0.0).otherwise(changed)
+
+
 def hit_value(hit: Hit, rules: Sequence[str] = RULES, inert: Sequence[str] = ()) -> Column:
     """Valence of one lexicon hit in its context.
 
     ``hit`` gives the fields of a hit: at (word index), bare (the word), back1..back3 (the words
-    before it), value (lexicon valence), mixed and but_at (of its text). ``inert`` are modifier
-    words that are lexicon terms too; those do not modify.
+    before it), next1 and next2, known3 (back3 is a lexicon term), next_known, value (lexicon valence), mixed
+    and but_at (of its text). ``inert`` are modifier words that are lexicon terms too; those do not modify.
     """
     value = hit("value")
+    back = _words_before(hit)
+    if "no" in rules:
+        no = (back[0] == "no") | (back[1] == "no") | ((back[2] == "no") & back[0].isin("or", "nor"))
+        own = F.when((F.lower(hit("bare")) == "no") & hit("next_known"), 0.0).otherwise(value)
+        value = F.when(no, value * NEGATION_FACTOR).otherwise(own)
     if "capitals" in rules:
         loud = F.when(value > 0, value + CAPS_BOOST).otherwise(value - CAPS_BOOST)
         value = F.when(is_capitals(hit("bare")) & hit("mixed"), loud).otherwise(value)
     before = F.array(*[_neighbour(hit, d, rules, inert) for d in range(1, LOOK_BACK + 1)])
     value = F.aggregate(before, value, _pushed)
+    if "phrases" in rules:
+        value = _with_phrases(hit, value)
+    if "least" in rules and "least" not in inert:
+        least = (back[0] == "least") & ~back[1].isin("at", "very")
+        value = F.when(least, value * NEGATION_FACTOR).otherwise(value)
     if "but" in rules:
         weight = F.when(hit("at") < hit("but_at"), BEFORE_BUT).when(hit("at") > hit("but_at"), AFTER_BUT)
         value = value * F.coalesce(weight, F.lit(1.0))
@@ -224,13 +305,14 @@ def compound(units: Column, emphasis: Column, rules: Sequence[str]) -> Column:
 
 
 def _neighbourhood(words: Column) -> Callable[[Column], Column]:
-    """Word at a position with the words before it; empty strings before the first word."""
+    """Word at a position with the words around it; empty strings beyond the first and the last word."""
     def look(at: Column) -> Column:
-        backs = [
-            F.coalesce(bare_word(F.get(words, at - d)), F.lit("")).alias(f"back{d}")
-            for d in range(1, LOOK_BACK + 1)
-        ]
-        return F.struct(at.alias("at"), bare_word(F.get(words, at)).alias("bare"), *backs)
+        def word(place: Column) -> Column:
+            return F.coalesce(bare_word(F.get(words, place)), F.lit(""))
+
+        backs = [word(at - d).alias(f"back{d}") for d in range(1, LOOK_BACK + 1)]
+        nexts = [word(at + d).alias(f"next{d}") for d in (1, 2)]
+        return F.struct(at.alias("at"), bare_word(F.get(words, at)).alias("bare"), *backs, *nexts)
 
     return look
 
@@ -242,7 +324,7 @@ def scoring_terms(lexicon: DataFrame) -> DataFrame:
 
 def modifiers_in(lexicon: DataFrame) -> list[str]:
     """Modifier words that are lexicon terms too. Bounded by the number of modifiers."""
-    words = STRENGTHENERS + WEAKENERS + NEGATIONS
+    words = STRENGTHENERS + WEAKENERS + NEGATIONS + ("least",)
     found = lexicon.filter(F.col("term").isin(*words)).select("term").distinct()
     return sorted(r["term"] for r in found.collect())
 
@@ -293,15 +375,25 @@ def score_in_place(
         + "when false then 0D end as double))"
     )
 
+    # A lexicon term is known as such also when it is a degree word, which has no value of its own.
+    listed = _quoted([*every, *inert])
+    known = F.expr(f"transform(_near, near -> transform(array(lower(near.back3), lower(near.next1)), word -> word in ({listed})))")
+    if not set(rules) & {"no", "never_so", "phrases"}:
+        known = F.transform("_near", lambda near: F.array(F.lit(False), F.lit(False)))
+    places = {"known3": 0, "next_known": 1}
+
     def contribution(total: Column, seen: Column) -> Column:
         def hit(field: str) -> Column:
             if field in ("mixed", "but_at"):
                 return F.col(f"_{field}")
+            if field in places:
+                return seen["known"][places[field]]
             return seen["value"] if field == "value" else seen["near"][field]
 
         return total + _whole_units(hit_value(hit, rules, inert))
 
-    seen = F.zip_with("_near", "_values", lambda near, value: F.struct(near.alias("near"), value.alias("value")))
+    valued = F.zip_with("_near", "_values", lambda near, value: F.struct(near.alias("near"), value.alias("value")))
+    seen = F.zip_with(valued, "_known", lambda v, known: F.struct(v["near"].alias("near"), v["value"].alias("value"), known.alias("known")))
     units = F.aggregate(seen, F.lit(0).cast("bigint"), contribution)
     has_hits = F.size(found) > 0
     return (
@@ -311,18 +403,19 @@ def score_in_place(
         .withColumn("_near", F.transform(found, _neighbourhood(words)))
         .withColumn("_terms", F.transform("_near", lambda near: F.lower(near["bare"])))
         .withColumn("_values", valence)
+        .withColumn("_known", known)
         .withColumn("_mixed", F.when(has_hits, mixes_capitals(F.col(text))))
         .withColumn("_but_at", F.when(has_hits, but_position(bare)))
         .withColumn("_units", F.when(has_hits, units).otherwise(F.lit(0)))
         .withColumn("sentiment_score", compound(F.col("_units"), punctuation_emphasis(F.col(text)), rules))
-        .drop("_words", "_bare", "_found", "_near", "_terms", "_values", "_mixed", "_but_at", "_units")
+        .drop("_words", "_bare", "_found", "_near", "_terms", "_values", "_known", "_mixed", "_but_at", "_units")
     )
 
 
 # --- plan 2: any lexicon, by join -----------------------------------------------------------------
 
 def lexicon_hits(docs: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """One row per word found in the lexicon, with the three words before it.
+    """One row per word found in the lexicon, with the words around it and what the lexicon knows of them.
 
     A word is exploded together with its own neighbours, so a long text costs time and memory
     in proportion to its length.
@@ -341,8 +434,12 @@ def lexicon_hits(docs: DataFrame, key: str, text: str, lexicon: DataFrame) -> Da
         .select(key, "emphasis", "mixed", "but_at", "near.*")
         .withColumn("term", F.lower("bare"))
     )
-    terms = scoring_terms(settled(lexicon))
-    return near.join(broadcast_if_small(terms), "term").withColumnRenamed("valence", "value")
+    terms = settled(lexicon)
+    hits = near.join(broadcast_if_small(scoring_terms(terms)), "term").withColumnRenamed("valence", "value")
+    for field, word in (("known3", "back3"), ("next_known", "next1")):
+        others = broadcast_if_small(terms.select(F.col("term").alias(f"_{field}"), F.lit(True).alias(field)))
+        hits = hits.join(others, F.lower(word) == F.col(f"_{field}"), "left").drop(f"_{field}")
+    return hits.fillna(False, ["known3", "next_known"])
 
 
 def score_by_join(

@@ -15,9 +15,9 @@ def scores(spark, texts, rules=S.RULES):
     return [r["sentiment_score"] for r in rows]
 
 
-def expected(text, rules=S.RULES):
+def expected(text, rules=S.RULES, lexicon=None):
     """Brute force over one text, written as plain loops."""
-    lexicon = {t: v for t, v in S.SAMPLE_LEXICON}
+    lexicon = lexicon or dict(S.SAMPLE_LEXICON)
 
     def bare(w):
         stripped = w.strip(string.punctuation)
@@ -34,6 +34,11 @@ def expected(text, rules=S.RULES):
         if word not in lexicon or word in S.STRENGTHENERS + S.WEAKENERS:
             continue
         v = lexicon[word]
+        if "no" in rules:
+            if word == "no" and low[i + 1 : i + 2] and low[i + 1] in lexicon:
+                v = 0.0
+            if "no" in low[max(0, i - 2) : i] or (i > 2 and low[i - 3] == "no" and low[i - 1] in ("or", "nor")):
+                v = lexicon[word] * -0.74
         if "capitals" in rules and upper(words[i]) and mixed:
             v += 0.733 if v > 0 else -0.733
         for d, damping in ((1, 1.0), (2, 0.95), (3, 0.9)):
@@ -46,8 +51,27 @@ def expected(text, rules=S.RULES):
                 if upper(words[i - d]) and mixed:
                     push += 0.733 if v > 0 else -0.733
                 v += push * damping
-            if "negation" in rules and (near in S.NEGATIONS or "n't" in near):
+            so = [w in ("so", "this") for w in low[i - d + 1 : i]]  # words between the neighbour and the hit
+            if "never_so" in rules and d == 2 and near == "never" and so[0]:
+                v *= 1.25
+            elif "never_so" in rules and d == 3 and (near == "never" and so[0] or so[1]):
+                v *= 1.25
+            elif "without_doubt" in rules and d > 1 and near == "without" and "doubt" in low[i - d + 1 : i]:
+                pass
+            elif "negation" in rules and (near in S.NEGATIONS or "n't" in near):
                 v *= -0.74
+            if "phrases" in rules and d == 3:
+                idioms = dict(S.IDIOMS)
+                windows = [(1, 0), (2, 0), (2, 1), (3, 1), (3, 2)]
+                joined = [" ".join(low[i - a : i - b + 1]) for a, b in windows]
+                v = next((idioms[j] for j in joined if j in idioms), v)
+                for n in (2, 3):
+                    v = idioms.get(" ".join(low[i : i + n]), v) if i + n <= len(low) else v
+                v -= 0.293 * sum(" ".join(low[i - a : i - b + 1]) in ("just enough", "kind of", "sort of") for a, b in ((3, 1), (3, 2), (2, 1)))
+        if "phrases" in rules and word == "kind" and low[i + 1 : i + 2] == ["of"]:
+            v = 0.0
+        if "least" in rules and i and low[i - 1] == "least" and "least" not in lexicon and not (i > 1 and low[i - 2] in ("at", "very")):
+            v *= -0.74
         if "but" in rules and but is not None:
             v *= 0.5 if i < but else 1.5 if i > but else 1
         total += v
@@ -76,6 +100,28 @@ def random_texts(n, seed=7):
     return [" ".join(pick.choice(words) for _ in range(pick.randint(1, 14))) for _ in range(n)]
 
 
+MORE_TERMS = dict(S.SAMPLE_LEXICON) | {"no": -1.2, "kind": 2.4, "heart": 3.2, "death": -2.9, "die": -2.9, "shit": -2.6, "doubt": -1.5, "ass": -2.5, "so": 0.1}
+PHRASE_WORDS = (
+    "good bad great GREAT love no No nor or never Never so this without doubt least Least at very kind of sort just enough "
+    "the shit bomb bad ass bus stop yeah right kiss of death to die for beating broken heart app the it, isn't"
+).split()
+
+
+@pytest.mark.parametrize("rules", [S.RULES, ("no",), ("least",), ("never_so",), ("without_doubt",), ("without_doubt", "negation"), ("never_so", "negation", "degree"), ("phrases",)])
+@pytest.mark.parametrize("terms", [dict(S.SAMPLE_LEXICON), MORE_TERMS])
+def test_phrase_rules_against_brute_force(spark, rules, terms):
+    pick = random.Random(len(rules))
+    texts = [" ".join(pick.choice(PHRASE_WORDS) for _ in range(pick.randint(1, 12))) for _ in range(250)]
+    texts += ["it is to die for", "a broken heart", "what a kind of good app", "so very good", "app was never so good", "without doubt the best", "at least good", "no good", "x y z the bomb good"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    lexicon = spark.createDataFrame(list(terms.items()), "term string, valence double")
+    inside = {r["id"]: r["sentiment_score"] for r in S.with_sentiment(docs, "id", "t", lexicon, rules).collect()}
+    joined = {r["id"]: r["sentiment_score"] for r in S.with_all(docs, S.score_by_join(docs, "id", "t", lexicon, rules), "id").collect()}
+    assert inside == joined
+    for i, text in enumerate(texts):
+        assert inside[i] == pytest.approx(expected(text, rules, terms), abs=1e-4), text
+
+
 @pytest.mark.parametrize("rules", [S.RULES, (), ("capitals",), ("degree", "negation"), ("but",), ("punctuation",)])
 def test_against_brute_force(spark, rules):
     texts = random_texts(150)
