@@ -27,12 +27,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.llm.common import slices, utf8
 from reviewmill.operators.joins import broadcast_if_small
 from reviewmill.staging import Stage
 
-# Anything but ASCII letters and characters beyond ASCII separates terms.
-BETWEEN_TERMS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# By byte of a UTF-8 text: its lower case, and whether it belongs to a term. Terms are ASCII letters and
+# characters beyond ASCII, all of whose bytes are 0x80 or more.
+LOWERED = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+IN_TERM = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
+# Texts are counted in slices of this many bytes.
+COUNT_BYTES = 16 << 20
 SMOOTHING = 2
 # Skybands of this many buckets per source meet in the first merge.
 MERGE_BUCKETS = 16
@@ -42,25 +47,58 @@ CELLS_AT_ONCE = 1 << 18
 
 # --- counts ----------------------------------------------------------------------------------------------
 
-def terms_of(text: Column) -> Column:
-    """All terms of a text in order, A-Z lower-cased."""
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), BETWEEN_TERMS), lambda t: t != "")
+def terms_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(row, term) of all terms of binary ``texts`` in order, A-Z lower-cased."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    first = int(offsets[0])
+    # Empty texts may come without a buffer of bytes.
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[first : int(offsets[-1])]
+    inside = IN_TERM[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    # A term ends with its text.
+    edges = offsets[:-1][np.diff(offsets) > 0] - first
+    begins[edges] = inside[edges]
+    begin = np.flatnonzero(begins)
+    row = np.searchsorted(offsets - first, begin, "right") - 1
+    bounds = np.append(np.cumsum(inside)[begin] - 1, np.count_nonzero(inside)).astype(np.int32)
+    letters = LOWERED[data[inside]]
+    return row, pa.StringArray.from_buffers(len(begin), pa.py_buffer(bounds), pa.py_buffer(letters))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, holders): occurrences, and documents that hold the term.
 
-    Each term goes out as often as it occurs, its first occurrence marked, so one aggregate with
-    a map-side part gives both numbers.
+    A slice of texts is counted as a whole, so what reaches the aggregate is a row per term and group of
+    the slice.
     """
-    marked = F.concat(
-        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first"))),
-        F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first"))),
-    )
-    rows = docs.select("lang", "source", terms_of(F.col("text")).alias("terms")).select("lang", "source", F.inline(marked))
-    return rows.groupBy("lang", "source", "term").agg(
-        F.sum(1 - F.col("first")).alias("n"), F.sum(F.col("first").cast("bigint")).alias("holders")
-    )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", COUNT_BYTES):
+            row, terms = terms_of(utf8(batch.column("text")))
+            if not len(terms):
+                continue
+            terms = terms.dictionary_encode()
+            langs, sources = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
+            width = len(terms.dictionary)
+            held, n = np.unique(row * width + terms.indices.to_numpy(), return_counts=True)
+            group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
+            key = group[held // width] * width + held % width
+            order = np.argsort(key, kind="stable")
+            key, edges, holders = np.unique(key[order], return_index=True, return_counts=True)
+            group, code = key // width, key % width
+            columns = [
+                langs.dictionary.take(pa.array(group // len(sources.dictionary))),
+                sources.dictionary.take(pa.array(group % len(sources.dictionary))),
+                terms.dictionary.take(pa.array(code)),
+                pa.array(np.add.reduceat(n[order], edges)),
+                pa.array(holders),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "holders"])
+
+    texts = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
+    counted = texts.mapInArrow(count, "lang string, source string, term string, n bigint, holders bigint")
+    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("holders").alias("holders"))
 
 
 def share(count, size, div=lambda a, b: F.call_function("div", a, b)):

@@ -47,7 +47,7 @@ def corpus(seed, docs=260):
         lang, source = draw.choice(["en", "de", None]), draw.choice(["a", "b", "c", "d", "", None])
         words = [draw.choice(vocabulary[: draw.choice([5, 30, 124])]) for _ in range(draw.randrange(60))]
         rows.append((draw.choice([" ", "1", "\n", "\x7f."]).join(words), lang, source))
-    return rows + [(None, "en", "a"), ("", "xx", "only"), ("lonely words", "yy", "p"), ("!", "yy", "q"), ("x", "yy", None)]
+    return rows + [(None, "en", "a"), ("", "xx", "only"), ("lonely words", "yy", "p"), ("!", "yy", "q"), ("x", "yy", None), ("a\x00b\x7fc" * 12, "en", "a")]
 
 
 def table(spark, rows):
@@ -64,6 +64,17 @@ def test_audit_equals_brute_force(spark, stage, seed):
     assert len(got) == len(set(got)) and set(got) == plain_audit(rows)
 
 
+def test_terms_of_slices():
+    texts = ["", "Ab", "cD é", None, "12", "x", "y1", "ÀB\x00\x7f𝒳", ""]
+    cells = D.utf8(D.pa.array(texts, D.pa.string()))
+    for start in range(len(texts)):
+        for stop in range(start, len(texts) + 1):
+            row, terms = D.terms_of(cells.slice(start, stop - start))
+            lower = str.maketrans(D.UPPER, D.LOWER)
+            found = [(i, t.translate(lower)) for i, x in enumerate(texts[start:stop]) for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", x or "")]
+            assert list(zip(row.tolist(), terms.to_pylist())) == found
+
+
 def test_sources_in_blocks(spark, stage):
     rows = [(t, "en", f"s{i % 7}") for i, (t, _, _) in enumerate(corpus(3))]
     audit = D.Audit(table(spark, rows), stage)
