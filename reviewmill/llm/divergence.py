@@ -37,7 +37,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWERED = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 IN_TERM = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
 # Texts are counted in slices of this many bytes.
-COUNT_BYTES = 16 << 20
+COUNT_BYTES = 6 << 20
 SMOOTHING = 2
 # Skybands of this many buckets per source meet in the first merge.
 MERGE_BUCKETS = 16
