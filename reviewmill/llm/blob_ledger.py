@@ -28,7 +28,7 @@ from reviewmill.llm.common import slices, utf8
 from reviewmill.operators.joins import broadcast_if_small
 from reviewmill.staging import Stage
 
-# Above this size unseen blobs and findings meet the texts by shuffle.
+# Above this size findings meet the versions by shuffle.
 BROADCAST_BYTES = 16 << 20
 
 
@@ -178,7 +178,8 @@ def scan_versions(
     blobs = stage.put(whole.select("path", "blob"), "blobs")
     unseen = stage.put(unseen_blobs(blobs, ledger, rules), "unseen")
     if not unseen.isEmpty():
-        standing = broadcast_if_small(unseen.withColumnsRenamed({"blob": "_blob", "path": "_path"}), BROADCAST_BYTES)
+        # Left to Spark, which broadcasts a handful of new blobs and else deals texts by path and blob.
+        standing = unseen.withColumnsRenamed({"blob": "_blob", "path": "_path"})
         texts = whole.join(standing, F.col("path").eqNullSafe(F.col("_path")) & (F.col("blob") == F.col("_blob")))
         ledger.record(unseen.select("blob", F.col("lacking").alias("rules")), scan(texts, rules).distinct(), rules)
     places = F.create_map(*[F.lit(x) for place, r in enumerate(rules) for x in (r.name, place)])
