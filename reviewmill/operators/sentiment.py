@@ -235,29 +235,24 @@ def _pushed(value: Column, near: Column) -> Column:
     return (value + (push + loud) * near["damping"]) * near["factor"]
 
 
-def _idiom(words: Sequence[Column], otherwise: Column) -> Column:
-    """Value of the idiom that ``words`` are, if they are one."""
+def _idiom(words: Sequence[Column]) -> Column:
+    """Value of the idiom that ``words`` are, null if they are none."""
     listed = {phrase: worth for phrase, worth in IDIOMS if len(phrase.split()) == len(words)}
-    found = F.element_at(F.create_map(*[F.lit(x) for pair in listed.items() for x in pair]), F.concat_ws(" ", *words))
-    return F.coalesce(found, otherwise)
+    return F.element_at(F.create_map(*[F.lit(x) for pair in listed.items() for x in pair]), F.concat_ws(" ", *words))
 
 
 def _with_phrases(hit: Hit, value: Column) -> Column:
     """Idioms around a hit replace its value, weakening phrases before it lower it.
 
-    Of the idioms before and up to the hit the first of the order below counts; one that goes on behind the hit
-    replaces what came before. Looked for when the word three words before is no lexicon term.
+    The first idiom in the order below counts: those that go on behind the hit, then those up to and before it. Looked for when the word three words before is no lexicon term.
     """
     b1, b2, b3 = _words_before(hit)
     word, n1, n2 = (F.lower(hit(name)) for name in ("bare", "next1", "next2"))
-    changed = value
-    for words in reversed(((b1, word), (b2, b1, word), (b2, b1), (b3, b2, b1), (b3, b2))):
-        changed = _idiom(words, changed)
-    changed = _idiom((word, n1, n2), _idiom((word, n1), changed))
-    for words in ((b3, b2), (b2, b1)):
-        weak = F.concat_ws(" ", *words).isin(*WEAK_PHRASES)
-        changed = changed - F.when(weak, BOOST).otherwise(0.0)
-    changed = F.when(_far_enough(hit), changed).otherwise(value)
+    windows = ((word, n1, n2), (word, n1), (b1, word), (b2, b1, word), (b2, b1), (b3, b2, b1), (b3, b2))
+    idiom = F.coalesce(*[_idiom(words) for words in windows])
+    weak = sum((F.when(F.concat_ws(" ", *words).isin(*WEAK_PHRASES), BOOST).otherwise(0.0) for words in ((b3, b2), (b2, b1))), F.lit(0.0))
+    # ``value`` is a long expression, so it stands in the result once.
+    changed = F.coalesce(F.when(_far_enough(hit), idiom), value) - F.when(_far_enough(hit), weak).otherwise(0.0)
     # "kind of" is a phrase and no kindness.
     return F.when((word == "kind") & (n1 == "of"), 0.0).otherwise(changed)
 
@@ -273,8 +268,8 @@ def hit_value(hit: Hit, rules: Sequence[str] = RULES, inert: Sequence[str] = ())
     back = _words_before(hit)
     if "no" in rules:
         no = (back[0] == "no") | (back[1] == "no") | ((back[2] == "no") & back[0].isin("or", "nor"))
-        own = F.when((F.lower(hit("bare")) == "no") & hit("next_known"), 0.0).otherwise(value)
-        value = F.when(no, value * NEGATION_FACTOR).otherwise(own)
+        own = (F.lower(hit("bare")) == "no") & hit("next_known")
+        value = value * F.when(no, NEGATION_FACTOR).when(own, 0.0).otherwise(1.0)
     if "capitals" in rules:
         loud = F.when(value > 0, value + CAPS_BOOST).otherwise(value - CAPS_BOOST)
         value = F.when(is_capitals(hit("bare")) & hit("mixed"), loud).otherwise(value)
@@ -284,7 +279,7 @@ def hit_value(hit: Hit, rules: Sequence[str] = RULES, inert: Sequence[str] = ())
         value = _with_phrases(hit, value)
     if "least" in rules and "least" not in inert:
         least = (back[0] == "least") & ~back[1].isin("at", "very")
-        value = F.when(least, value * NEGATION_FACTOR).otherwise(value)
+        value = value * F.when(least, NEGATION_FACTOR).otherwise(1.0)
     if "but" in rules:
         weight = F.when(hit("at") < hit("but_at"), BEFORE_BUT).when(hit("at") > hit("but_at"), AFTER_BUT)
         value = value * F.coalesce(weight, F.lit(1.0))
