@@ -238,7 +238,8 @@ def _pushed(value: Column, near: Column) -> Column:
 def _idiom(words: Sequence[Column]) -> Column:
     """Value of the idiom that ``words`` are, null if they are none."""
     listed = {phrase: worth for phrase, worth in IDIOMS if len(phrase.split()) == len(words)}
-    return F.element_at(F.create_map(*[F.lit(x) for pair in listed.items() for x in pair]), F.concat_ws(" ", *words))
+    table = ", ".join(f"{_quoted([phrase])}, {worth!r}D" for phrase, worth in listed.items())
+    return F.element_at(F.expr(f"map({table})"), F.concat_ws(" ", *words))
 
 
 def _with_phrases(hit: Hit, value: Column) -> Column:
