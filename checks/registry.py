@@ -12,8 +12,10 @@ from checks.workspace import Workspace, workspace
 from reviewmill.functions import dates as D
 from reviewmill.functions import numbers as N
 from reviewmill.functions import text as X
+from reviewmill.operators import keywords as KW
 from reviewmill.operators import sentiment as S
 from reviewmill.operators.dedup import drop_unusable, keep_first
+from reviewmill.operators.joins import BROADCAST_BYTES
 from reviewmill.operators.ranking import top_ranked
 from reviewmill.operators.release import first_seen, with_release
 from reviewmill.operators.windows import change_vs_previous, rolling_rows_mean
@@ -364,6 +366,52 @@ for _name, _rules, _join in (
         {"phrased": f"select review_id, {_PHRASED} as review_text from trimmed"} | O.sentiment_ctes("phrased", _rules, "p_", PHRASE_TERMS),
     )
 
+
+def _beyond_broadcast(w: Workspace) -> DataFrame:
+    docs = w.cleaned.select("review_id", "review_text")
+    scores = S.score_by_join(docs, "review_id", "review_text", S.sample_lexicon(docs.sparkSession), limit_bytes=0, stage=w.stage)
+    return S.with_all(docs.select("review_id"), scores, "review_id")
+
+
+on_workspace("n1_beyond_broadcast", _beyond_broadcast, "select review_id, sentiment_score from s_score")
+
+# --- issue tags from a keyword table ----------------------------------------------------------------
+
+# Beginnings of documents, the longest first, before the library's own keywords.
+OPENINGS = "select distinct lower(substr(text, 1, 4 + cast(doc_id % 12 as int))) as keyword, 'opening ' || cast(4 + doc_id % 12 as {string}) as category, cast(15 - doc_id % 12 as int) as place from {documents} where text is not null"
+
+
+def _many_keywords(limit_bytes: int):
+    def build(spark: SparkSession, folder: str) -> DataFrame:
+        w = workspace(spark, folder)
+        openings = spark.sql(OPENINGS.format(string="string", documents="{documents}"), documents=table(spark, folder, "documents"))
+        own = KW.keyword_table(spark).withColumn("place", F.col("place") + 100)
+        docs = w.cleaned.select("review_id", F.lower("review_text").alias("review_text"))
+        return KW.tag_by_keywords(docs, "review_id", "review_text", openings.unionByName(own), limit_bytes=limit_bytes, stage=w.stage)
+
+    return build
+
+
+def _many_keywords_ctes() -> dict[str, str]:
+    own = ", ".join(f"({O.quoted(word)}, {O.quoted(category)}, {100 + place})" for place, (category, words) in enumerate(X.ISSUE_KEYWORDS) for word in words)
+    return {
+        "kw": f"{OPENINGS.format(string='varchar', documents='documents')} union all select * from (values {own}) t(keyword, category, place)",
+        "low": "select review_id, lower(review_text) as review_text from trimmed",
+        "hit": "select review_id, min({'place': place, 'category': category}) as first from low join kw on contains(review_text, keyword) group by review_id",
+    }
+
+
+MANY_KEYWORDS = "select low.review_id, coalesce(first.category, 'none') as issue_category from low left join hit on low.review_id = hit.review_id"
+_add("f9_issue_tag_many", _many_keywords(BROADCAST_BYTES), MANY_KEYWORDS, _many_keywords_ctes())
+_add("f9_issue_tag_beyond_broadcast", _many_keywords(0), MANY_KEYWORDS, _many_keywords_ctes())
+on_workspace(
+    "f9_issue_tag_by_table",
+    lambda w: KW.tag_by_keywords(
+        w.cleaned.select("review_id", F.lower("review_text").alias("t")), "review_id", "t", KW.keyword_table(w.raw.sparkSession), stage=w.stage
+    ),
+    f"select review_id, {O.issue_case('lower(review_text)')} as issue_category from trimmed",
+)
+
 # --- joins ----------------------------------------------------------------------------------------
 
 on_workspace("j1_app_key", lambda w: ST.attach_app(w.cleaned, w.star.dim_app).select("review_id", "app_key"), "select review_id, app_key from fact")

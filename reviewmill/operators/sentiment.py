@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions.numbers import round_half_away
-from reviewmill.operators.joins import broadcast_if_small
+from reviewmill.operators.joins import BROADCAST_BYTES, look_up
+from reviewmill.staging import Stage
 
 # Fixed values of the published model.
 NEGATION_FACTOR = -0.74
@@ -410,11 +411,14 @@ def score_in_place(
 
 # --- plan 2: any lexicon, by join -----------------------------------------------------------------
 
-def lexicon_hits(docs: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
+def lexicon_hits(
+    docs: DataFrame, key: str, text: str, lexicon: DataFrame, limit_bytes: int = BROADCAST_BYTES, stage: Stage | None = None
+) -> DataFrame:
     """One row per word found in the lexicon, with the words around it and what the lexicon knows of them.
 
     A word is exploded together with its own neighbours, so a long text costs time and memory
-    in proportion to its length.
+    in proportion to its length. A lexicon of more than ``limit_bytes`` is not broadcast: words that it
+    surely lacks stay where they are, frequent ones are spread.
     """
     near = (
         docs.select(
@@ -430,19 +434,26 @@ def lexicon_hits(docs: DataFrame, key: str, text: str, lexicon: DataFrame) -> Da
         .select(key, "emphasis", "mixed", "but_at", "near.*")
         .withColumn("term", F.lower("bare"))
     )
-    terms = settled(lexicon)
-    hits = near.join(broadcast_if_small(scoring_terms(terms)), "term").withColumnRenamed("valence", "value")
+    stage = stage or Stage(docs.sparkSession)
+    terms = stage.put(settled(lexicon), "lexicon")
+    hits = look_up(near, scoring_terms(terms), "term", [key, "at"], "inner", limit_bytes, stage).withColumnRenamed("valence", "value")
     for field, word in (("known3", "back3"), ("next_known", "next1")):
-        others = broadcast_if_small(terms.select(F.col("term").alias(f"_{field}"), F.lit(True).alias(field)))
-        hits = hits.join(others, F.lower(word) == F.col(f"_{field}"), "left").drop(f"_{field}")
+        others = terms.select(F.col("term").alias("_word"), F.lit(True).alias(field))
+        hits = look_up(hits.withColumn("_word", F.lower(word)), others, "_word", [key, "at"], "left", limit_bytes, stage).drop("_word")
     return hits.fillna(False, ["known3", "next_known"])
 
 
 def score_by_join(
-    docs: DataFrame, key: str, text: str, lexicon: DataFrame, rules: Sequence[str] = RULES
+    docs: DataFrame,
+    key: str,
+    text: str,
+    lexicon: DataFrame,
+    rules: Sequence[str] = RULES,
+    limit_bytes: int = BROADCAST_BYTES,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """(key, sentiment_score) for documents with hits; ``key`` must be unique per document."""
-    valued = lexicon_hits(docs, key, text, lexicon).select(
+    valued = lexicon_hits(docs, key, text, lexicon, limit_bytes, stage).select(
         key, "emphasis", _whole_units(hit_value(F.col, rules, modifiers_in(lexicon))).alias("units")
     )
     totals = valued.groupBy(key).agg(F.sum("units").alias("units"), F.max("emphasis").alias("emphasis"))
