@@ -28,6 +28,7 @@ from reviewmill.plans.clean import normalise_text, prepare_reviews, reply_flag,
 from reviewmill.schemas import CLEANED_COLUMNS, DETAIL_COLUMNS, FACT_COLUMNS, RAW_REVIEWS, STAR_TABLES
 from reviewmill.sources import readers, writers
 from reviewmill.sources.sample import raw_reviews, table
+from reviewmill.staging import Stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,7 +179,7 @@ on_workspace("io8_export_star_csv", lambda w: _exported(w, "csv"), _sizes(STAR_S
 
 # --- cleaning -------------------------------------------------------------------------------------
 
-on_raw("c1_dedup_keep_first", lambda raw: keep_first(raw).drop("review_key"), f"select {RAW} from deduped")
+on_raw("c1_dedup_keep_first", lambda raw: keep_first(raw, stage=Stage(raw.sparkSession)).drop("review_key"), f"select {RAW} from deduped")
 on_raw(
     "c2_drop_null_text", lambda raw: raw.dropna(subset=["review_text"]).select(*ROW_ID, "rating"),
     "select review_id, thumbs_up, rating from raw where review_text is not null",

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.operators.joins import look_up
 from reviewmill.schemas import DEDUP_KEYS, INGEST_ORDER
+from reviewmill.staging import Stage
 
 REVIEW_KEY = "review_key"
 
@@ -35,28 +37,76 @@ def keep_first(
     raw: DataFrame,
     keys: Sequence[str] = DEDUP_KEYS,
     order_by: Sequence[str] | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """One row per review: the first by ``order_by``, ties broken by every other column.
 
-    Without ``order_by`` rows that carry their ``INGEST_ORDER`` are taken in file order.
+    Without ``order_by`` rows that carry their ``INGEST_ORDER`` are taken in file order. Adds ``review_key``.
 
-    Adds ``review_key``; the result is hash-partitioned on it, which later steps rely on.
-    ``row_number() = 1`` lets Spark drop surplus copies before the shuffle (a group limit on
-    the map side), so a review copied a billion times sends one row per map task.
+    With a ``stage`` rows stay where they are read: see ``first_in_place``. Without one a single lazy plan
+    shuffles every row by ``review_key``; ``row_number() = 1`` lets Spark drop surplus copies before
+    that (a group limit on the map side), so a review copied a billion times sends one row per map task.
     """
-    ordered = list(copy_order(raw, keys, order_by))
+    if stage is not None:
+        return first_in_place(raw, stage, keys, order_by)
+    return _first_of_window(raw.withColumn(REVIEW_KEY, review_key(keys)), copy_order(raw, keys, order_by), keys)
+
+
+def _first_of_window(keyed: DataFrame, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
     # The identity columns are constant inside a group. Listing them keeps every column alive
     # below the window, so plans that read this result twice share a single shuffle.
-    ordered += [k for k in keys if k not in ordered]
+    ordered = list(order) + [k for k in keys if k not in order]
     first = Window.partitionBy(REVIEW_KEY).orderBy(*[F.col(c).asc_nulls_first() for c in ordered])
+    return keyed.withColumn("_copy", F.row_number().over(first)).filter(F.col("_copy") == 1).drop("_copy")
+
+
+def repeated_reviews(raw: DataFrame, keys: Sequence[str] = DEDUP_KEYS, order_by: Sequence[str] | None = None) -> DataFrame:
+    """(review_key, _first, _ties) of the reviews that have copies: where the first one stands and how many rows stand there.
+
+    Only keys and the ordering columns meet. Equal places are counted before the copies of a review
+    meet, so a review copied a billion times sends one row per place and map task; places in files are
+    unique and need no count.
+    """
+    order = copy_order(raw, keys, order_by)
+    keyed = raw.select(review_key(keys).alias(REVIEW_KEY), *order)
+    if _in_file_order(raw, order_by):
+        places = keyed.select(REVIEW_KEY, F.struct(*INGEST_ORDER).alias("_place"), F.lit(1).cast("bigint").alias("_rows"))
+    else:
+        places = keyed.groupBy(REVIEW_KEY, F.struct(*order).alias("_place")).agg(F.count(F.lit(1)).alias("_rows"))
     return (
-        raw.withColumn(REVIEW_KEY, review_key(keys))
-        .withColumn("_copy", F.row_number().over(first))
-        .filter(F.col("_copy") == 1)
-        .drop("_copy")
+        places.groupBy(REVIEW_KEY)
+        .agg(F.sum("_rows").alias("_copies"), F.min(F.struct("_place", "_rows")).alias("_best"))
+        .filter(F.col("_copies") > 1)
+        .select(REVIEW_KEY, F.col("_best._place").alias("_first"), F.col("_best._rows").alias("_ties"))
     )
 
 
+def _in_file_order(raw: DataFrame, order_by: Sequence[str] | None) -> bool:
+    return not order_by and all(c in raw.columns for c in INGEST_ORDER)
+
+
+def first_in_place(
+    raw: DataFrame, stage: Stage, keys: Sequence[str] = DEDUP_KEYS, order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """``keep_first`` that moves keys instead of rows.
+
+    A first pass stores the first places of the reviews that have copies; a second one drops every row that is
+    not at its review's first place. While that table is small the rows are neither shuffled nor sorted;
+    beyond, only rows of reviews that may have copies travel. Rows that are equal in every column share a place:
+    they alone are told apart by a window.
+    """
+    order = list(INGEST_ORDER) if _in_file_order(raw, order_by) else copy_order(raw, keys, order_by)
+    repeated = stage.put(repeated_reviews(raw, keys, order_by), "repeated_reviews")
+    columns = [*raw.columns, REVIEW_KEY]
+    keyed = raw.withColumn(REVIEW_KEY, review_key(keys)).withColumn("_task", F.spark_partition_id())
+    placed = look_up(keyed, repeated, REVIEW_KEY, ["_task"], "left", stage=stage)
+    kept = placed.filter(F.col("_first").isNull() | F.struct(*order).eqNullSafe(F.col("_first")))
+    if repeated.filter(F.col("_ties") > 1).isEmpty():
+        return kept.select(*columns)
+    tied = F.coalesce(F.col("_ties") > 1, F.lit(False))
+    return kept.filter(~tied).select(*columns).unionByName(_first_of_window(kept.filter(tied).select(*columns), order, keys))
+
+
 def drop_unusable(reviews: DataFrame) -> DataFrame:
     """Drop reviews without text or rating; ratings become integers."""
     return reviews.dropna(subset=["review_text", "rating"]).withColumn(

@@ -57,10 +57,12 @@ def label_sentiment(reviews: DataFrame, positive_from: float = 0.05, negative_to
     return reviews.withColumn("sentiment_label", label)
 
 
-def prepare_reviews(raw: DataFrame, order_by: Sequence[str] | None = None, keywords=X.ISSUE_KEYWORDS) -> DataFrame:
-    """Everything that needs no second look at the data: dedup, null handling, row features."""
+def prepare_reviews(
+    raw: DataFrame, order_by: Sequence[str] | None = None, keywords=X.ISSUE_KEYWORDS, stage: Stage | None = None
+) -> DataFrame:
+    """Dedup, null handling and row features."""
     return (
-        keep_first(raw, order_by=order_by)
+        keep_first(raw, order_by=order_by, stage=stage)
         .transform(drop_unusable)
         .transform(reply_flag)
         .transform(normalise_text)
@@ -75,9 +77,10 @@ def score_reviews(
     order_by: Sequence[str] | None = None,
     keywords=X.ISSUE_KEYWORDS,
     rules: Sequence[str] = RULES,
+    stage: Stage | None = None,
 ) -> DataFrame:
-    """Prepared reviews with sentiment. One shuffle of the reviews serves dedup and scoring."""
-    prepared = prepare_reviews(raw, order_by, keywords)
+    """Prepared reviews with sentiment. With a ``stage`` both are narrow steps over the raw rows."""
+    prepared = prepare_reviews(raw, order_by, keywords, stage)
     return with_sentiment(prepared, REVIEW_KEY, "review_text", lexicon, rules).transform(label_sentiment)
 
 
@@ -96,6 +99,6 @@ def clean_reviews(
     so there is no need to store it again.
     """
     stage = stage or Stage(raw.sparkSession)
-    scored = stage.put(score_reviews(raw, lexicon, order_by, keywords, rules), "scored_reviews")
+    scored = stage.put(score_reviews(raw, lexicon, order_by, keywords, rules, stage), "scored_reviews")
     releases = stage.put(first_seen(scored), "releases")
     return with_release(scored, releases).select(*CLEANED_COLUMNS)

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from reviewmill.functions import dates as D
 from reviewmill.functions import numbers as N
 from reviewmill.functions import text as X
-from reviewmill.operators.dedup import drop_unusable, keep_first
+from reviewmill.operators import dedup
+from reviewmill.operators.dedup import drop_unusable, keep_first, repeated_reviews
+from reviewmill.operators.joins import look_up
 from reviewmill.operators.sentiment import sample_lexicon
 from reviewmill.plans.clean import clean_reviews, normalise_text, text_features
+from reviewmill.staging import Stage
 
 
 def test_first_copy_survives_and_nulls_are_equal(reviews):
@@ -33,6 +36,44 @@ def test_surplus_copies_are_dropped_before_the_shuffle(reviews):
     assert "WindowGroupLimit" in below and "Partial" in below
 
 
+def executed(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_kept_in_place(spark, reviews):
+    raw = reviews(
+        dict(review_id="x", thumbs_up=2), dict(review_id="x", thumbs_up=1), dict(review_id="y", thumbs_up=5), dict(review_id=None, thumbs_up=3),
+        dict(review_id=None, thumbs_up=None),
+    )
+    kept = keep_first(raw, stage=Stage(spark))
+    assert "Sort" not in executed(kept) and "Exchange hashpartitioning" not in executed(kept)
+    assert kept.columns == keep_first(raw).columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, keep_first(raw).collect()))
+
+
+def test_rows_equal_in_every_column_leave_one(spark, reviews):
+    raw = reviews(dict(review_id="x"), dict(review_id="y", thumbs_up=1), dict(review_id="y", thumbs_up=2))
+    raw = raw.unionByName(raw.filter("review_id = 'x'")).unionByName(raw.filter("thumbs_up = 1"))
+    kept = keep_first(raw, stage=Stage(spark))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, keep_first(raw).collect())) and kept.count() == 2
+
+
+def test_places_of_copies_sort_no_text(reviews):
+    plan = executed(repeated_reviews(reviews({}, {})))
+    assert not any("review_text" in line for line in plan.splitlines() if "Sort" in line or "Exchange" in line)
+
+
+def test_many_copies_beyond_the_broadcast_limit(spark, reviews, monkeypatch):
+    raw = reviews(*[dict(review_id=f"r{i % 7 if i < 80 else i}", thumbs_up=i) for i in range(120)])
+    expected = sorted(map(str, keep_first(raw).collect()))
+    monkeypatch.setattr(dedup, "look_up", lambda *a, **k: look_up(*a, **k, limit_bytes=0))
+    assert sorted(map(str, keep_first(raw, stage=Stage(spark)).collect())) == expected
+
+
+def test_no_rows_to_keep(spark, reviews):
+    assert keep_first(reviews({}).limit(0), stage=Stage(spark)).isEmpty()
+
+
 def test_null_rating_of_the_kept_copy_drops_the_review(reviews):
     raw = reviews(dict(review_id="x", rating=None, thumbs_up=0), dict(review_id="x", rating=4, thumbs_up=1))
     assert drop_unusable(keep_first(raw, order_by=["thumbs_up"])).count() == 0
