@@ -37,8 +37,17 @@ def top_ranked(
     """Rows with RANK() OVER (PARTITION BY group ORDER BY score DESC) <= k, all ties included.
 
     No group is ever sorted or gathered: the rows are filtered in place by their group's
-    cut-off, so the cost of a million-way tie is only its own output.
+    cut-off, so the cost of a million-way tie is only its own output. The least cut-off of all groups is one
+    number, known before the rows are read, and so reaches the scan: row groups below it are skipped.
     """
-    cutoffs = broadcast_if_small(stage.put(rank_cutoffs(rows, group, score, k), name))
+    cutoffs = stage.put(rank_cutoffs(rows, group, score, k), name)
     in_rank = (F.col(score) >= F.col("_cutoff")) | F.col("_null_cutoff")
-    return rows.join(cutoffs, list(group)).filter(in_rank).drop("_cutoff", "_null_cutoff")
+    return at_least(rows, score, cutoffs).join(broadcast_if_small(cutoffs), list(group)).filter(in_rank).drop("_cutoff", "_null_cutoff")
+
+
+def at_least(rows: DataFrame, score: str, cutoffs: DataFrame) -> DataFrame:
+    """``rows`` from the least cut-off on; all of them where a group takes rows without a score."""
+    least = cutoffs.agg(F.min("_cutoff").alias("score"), F.max("_null_cutoff").alias("nulls")).first()
+    if least["score"] is None or least["nulls"]:
+        return rows
+    return rows.filter(F.col(score) >= F.lit(least["score"]).cast(rows.schema[score].dataType))

@@ -39,6 +39,17 @@ class Star:
         return replace(self, fact_reviews=fact)
 
 
+def review_facets(cleaned: DataFrame) -> DataFrame:
+    """The distinct facets of the reviews, from which every dimension is built.
+
+    One row per app, name, version, release date, day and issue, with the latest ``review_date``: rows follow
+    days and versions, not reviews, and ``dim_app`` to ``dim_date`` give the same tables on them as on ``cleaned``.
+    """
+    return cleaned.groupBy(
+        "app_id", "app_name", "app_version", "version_release_date", D.day_of(F.col("review_date")).alias("_day"), "issue_category"
+    ).agg(F.max("review_date").alias("review_date")).drop("_day")
+
+
 def app_names(cleaned: DataFrame) -> DataFrame:
     """One name per app: the latest by review date, so a renamed app does not double its rows."""
     latest = F.max_by("app_name", F.struct("review_date", "app_name"))
@@ -104,18 +115,19 @@ def build_star(
 ) -> Star:
     """Build and store the star schema from a ``cleaned`` table tagged with ``keywords``.
 
-    Dimensions are stored first: their measured size decides how the fact joins them. The fact
+    The reviews are read twice: for their facets, which give the dimensions, and for the fact. Dimensions
+    are stored first: their measured size decides how the fact joins them. The fact
     is laid out by month, with adaptive rebalancing so that a hot month becomes many files.
     """
     stage = stage or Stage(cleaned.sparkSession)
-    undated = cleaned.filter(F.col("review_date").isNull()).limit(1).count()
-    if undated:
+    facets = stage.put(review_facets(cleaned), "facets")
+    if not facets.filter(F.col("review_date").isNull()).isEmpty():
         raise ValueError("reviews without a review_date have no date key")
-    apps = stage.put(dim_app(cleaned, stage), "dim_app")
-    versions = stage.put(dim_app_version(cleaned, stage), "dim_app_version")
-    dates = stage.put(dim_date(cleaned), "dim_date")
+    apps = stage.put(dim_app(facets, stage), "dim_app")
+    versions = stage.put(dim_app_version(facets, stage), "dim_app_version")
+    dates = stage.put(dim_date(facets), "dim_date")
     issues = stage.put(dim_issue_category(cleaned.sparkSession, keywords), "dim_issue_category")
-    unknown = cleaned.select("issue_category").distinct().join(issues, "issue_category", "left_anti").limit(1).collect()
+    unknown = facets.select("issue_category").distinct().join(issues, "issue_category", "left_anti").limit(1).collect()
     if unknown:
         raise ValueError(f"issue category {unknown[0]['issue_category']!r} is not in the keyword table")
     fact = (

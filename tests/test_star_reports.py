@@ -10,6 +10,7 @@ from reviewmill import REPORTS, build_star, clean_reviews, run_reports
 from reviewmill.operators import joins, keys, ranking
 from reviewmill.operators.sentiment import sample_lexicon
 from reviewmill.plans import kpi, measures
+from reviewmill.plans import star as build
 from reviewmill.plans.reports import worst_versions
 
 START = datetime(2026, 1, 1)
@@ -211,3 +212,28 @@ def test_every_date_and_issue_attribute_slices(model):
     _, star, _ = model
     for by in ("year", "month", "week_start", "issue_description", "quarter", "month_name"):
         assert sum(r["total_reviews"] for r in rows_of(measures.measures(star, [by]))) == 120
+
+
+def test_cutoff_reaches_the_scan(spark, model):
+    _, star, stage = model
+    shown = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = REPORTS["q6_liked_complaints"](star, stage)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", shown)
+    assert "GreaterThanOrEqual(thumbs_up," in plan
+
+
+def test_rows_without_a_score_stay_where_a_group_needs_them(spark, model):
+    stage = model[2]
+    frame = spark.createDataFrame([("a", 5), ("a", 4), ("b", None), ("b", 1), ("c", None)], "g string, s int")
+    got = sorted((r["g"], r["s"] or -1) for r in ranking.top_ranked(frame, ["g"], "s", 2, stage, "few").collect())
+    assert got == [("a", 4), ("a", 5), ("b", -1), ("b", 1), ("c", -1)]
+    assert ranking.top_ranked(frame.limit(0), ["g"], "s", 2, stage, "none").isEmpty()
+
+
+def test_dimensions_from_facets_equal_those_from_reviews(spark, model):
+    cleaned, star, stage = model
+    assert rows_of(star.dim_app.orderBy("app_key")) == rows_of(build.dim_app(cleaned, stage).orderBy("app_key"))
+    assert rows_of(star.dim_app_version.orderBy("version_key")) == rows_of(build.dim_app_version(cleaned, stage).orderBy("version_key"))
+    assert rows_of(star.dim_date.orderBy("date")) == rows_of(build.dim_date(cleaned).orderBy("date"))
+    assert build.review_facets(cleaned).count() < cleaned.count()
