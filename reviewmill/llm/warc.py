@@ -32,6 +32,7 @@ LEAST_SHARED_BYTES = 100
 READ_BYTES = 1 << 20
 PROBE_BYTES = 64
 OUT_BYTES = 8 << 20
+MOST_TASKS = 10_000
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -172,10 +173,17 @@ def read_member(window: Window, at: int) -> tuple[bytes, int] | None:
 
 
 def records_between(file, start: int, end: int) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Records whose member starts in [start, end). Damaged stretches are passed over.
+    """(fields, payload) of the records whose member starts in [start, end)."""
+    for fields, payload, _, _ in members_between(file, start, end):
+        yield fields, payload
 
-    A candidate inside another member's data has to decode, hold a whole WARC record and be
-    followed by another member or the end of the file.
+
+def members_between(file, start: int, end: int) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
+    """(fields, payload, at, after) of the records whose member starts in [start, end).
+
+    A candidate that decodes with its checksum and holds a whole WARC record is one, whatever follows it, so bytes
+    around damage are passed over and nothing else. A member that lies in the data of one from an earlier
+    range is told by its place only, see ``outermost``.
     """
     window, at = Window(file, start), start
     while True:
@@ -185,45 +193,66 @@ def records_between(file, start: int, end: int) -> Iterator[tuple[dict[str, str]
         window.drop(at)
         member = read_member(window, at)
         record = parse_record(member[0]) if member else None
-        if record is not None:
-            after = member[1]
-            while len(window.held) < after - window.base + len(MAGIC) and window.more():
-                pass
-            follows = bytes(window.held[after - window.base : after - window.base + len(MAGIC)])
-            if follows in (b"", MAGIC):
-                yield record
-                at = after
-                window.drop(at)
-                continue
-        at += 1
+        if record is None:
+            at += 1
+            continue
+        yield *record, at, member[1]
+        at = member[1]
+        window.drop(at)
+
+
+def outermost(records: DataFrame, split_bytes: int) -> DataFrame:
+    """``records`` (path, at, after, ...) without those inside a member that began in an earlier range.
+
+    A range passes over the data of its own members. So only members that cross a range border can hold others: each
+    is noted at every range it reaches and compared with the records that start there. ``records`` should be stored.
+    """
+    width = F.lit(split_bytes).cast("bigint")
+    first, last = F.floor(F.col("at") / width), F.floor((F.col("after") - 1) / width)
+    crossing = records.filter(last > first).select("path", F.explode(F.sequence(first + 1, last)).alias("_range"), F.col("after").alias("_until"))
+    reach = crossing.groupBy("path", "_range").agg(F.max("_until").alias("_until"))
+    placed = records.withColumn("_range", first).join(reach, ["path", "_range"], "left")
+    return placed.filter(F.col("_until").isNull() | (F.col("at") >= F.col("_until"))).select(*records.columns)
+
+
+def passed_over(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """(path, bytes, passed_over) per listed file: its size and how many bytes of it are in no record."""
+    held = records.groupBy("path").agg(F.sum(F.col("after") - F.col("at")).alias("_held"))
+    return manifest.select("path", "bytes").join(held, "path", "left").select(
+        "path", "bytes", (F.col("bytes") - F.coalesce(F.col("_held"), F.lit(0))).alias("passed_over")
+    )
 
 
 def read_archives(manifest: DataFrame, split_bytes: int = 32 << 20) -> DataFrame:
-    """(record_id, record_type, target_uri, refers_to, digest, payload) of all records.
+    """(record_id, record_type, target_uri, refers_to, digest, path, at, after, payload) of all members that hold a record.
 
-    ``manifest`` has path and bytes; a file of any size is read by as many tasks as it has splits.
+    ``manifest`` is stored and has path and bytes; a file of any size is read by as many tasks as it has splits. Store what
+    is needed of the result and take ``outermost`` of it where payloads may hold archives.
     """
     starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("bigint"))
     ranges = manifest.select("path", F.explode(starts).alias("start"))
+    # Dealt by number: the ranges are small rows, whose bytes say nothing of the work behind them.
+    tasks = max(1, min(ranges.count(), MOST_TASKS))
     names = ["record_id", "record_type", "target_uri", "refers_to", "digest"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def out() -> pa.RecordBatch:
-            columns = [pa.array([r[i] for r in held], pa.string()) for i in range(len(names))]
-            return pa.RecordBatch.from_arrays([*columns, pa.array([r[-1] for r in held], pa.binary())], [*names, "payload"])
+            kinds = [*[pa.string()] * len(names), pa.string(), pa.int64(), pa.int64(), pa.binary()]
+            columns = [pa.array([r[i] for r in held], kind) for i, kind in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays(columns, [*names, "path", "at", "after", "payload"])
 
         for batch in batches:
             for row in batch.to_pylist():
                 system, path = fs.FileSystem.from_uri(row["path"])
                 with system.open_input_file(path) as file:
-                    for fields, payload in records_between(file, row["start"], row["start"] + split_bytes):
+                    for fields, payload, at, after in members_between(file, row["start"], row["start"] + split_bytes):
                         uri = fields.get("warc-target-uri")
                         held.append((
                             fields.get("warc-record-id", "").strip("<>"), fields.get("warc-type"),
                             None if uri is None else plain_value(uri), (fields.get("warc-refers-to") or "").strip("<>") or None,
-                            fields.get("warc-payload-digest", "").removeprefix("sha256:"), payload,
+                            fields.get("warc-payload-digest", "").removeprefix("sha256:"), row["path"], at, after, payload,
                         ))
                         size += len(payload) + 200
                         if size >= OUT_BYTES:
@@ -233,7 +262,7 @@ def read_archives(manifest: DataFrame, split_bytes: int = 32 << 20) -> DataFrame
             yield out()
 
     kinds = ", ".join(f"{n} string" for n in names)
-    return ranges.repartition("path", "start").mapInArrow(read, f"{kinds}, payload binary")
+    return ranges.repartition(tasks).mapInArrow(read, f"{kinds}, path string, at bigint, after bigint, payload binary")
 
 
 # --- pages to archives and back ------------------------------------------------------------------------
@@ -283,11 +312,11 @@ def round_trip(pages: DataFrame, stage: Stage, split_bytes: int = 4 << 20) -> Da
     found = read_archives(archive_pages(pages, stage), split_bytes)
     read = stage.put(
         found.select(
-            "record_id", "record_type", "refers_to",
+            "record_id", "record_type", "refers_to", "path", "at", "after",
             F.length("payload").cast("bigint").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),
         ),
         "records_read",
-    )
+    ).transform(outermost, split_bytes)
     revisits = read.filter(F.col("record_type") == "revisit").select("record_id", "record_type", "refers_to")
     targets = revisits.select(F.col("refers_to").alias("_target")).distinct()
     responses = read.filter(F.col("record_type") == "response")

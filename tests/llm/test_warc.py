@@ -85,3 +85,36 @@ def test_archives_roll_and_only_listed_files_count(spark, stage):
 
 def test_empty(spark, stage):
     assert W.round_trip(spark.createDataFrame([], PAGES), stage).count() == 0
+
+
+def test_whole_members_beside_damage_are_read():
+    first, second, third = member(0), member(1), member(2, os.urandom(500))
+    broken = bytearray(third)
+    broken[len(third) // 2] ^= 255
+    for split in (16, 64, 1 << 20):
+        assert ids(first + b"garbage" + second + third, split) == [0, 1, 2]
+        assert ids(first + second + b"\0" * 8, split) == [0, 1]
+        assert ids(first + second[:-1], split) == [0]
+        assert ids(first + bytes(broken) + second, split) == [0, 1]
+
+
+@pytest.mark.parametrize("split", [40, 700, 1 << 20])
+def test_archives_inside_payloads_are_no_records(spark, stage, split):
+    inner = member(8, b"in") + member(9, b"side")
+    outer = W.record_member([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:page:1>")], os.urandom(900) + inner + os.urandom(900), 0)
+    data = member(0) + outer + b"junk" + member(2)
+    path = stage.path("archive")
+    os.makedirs(path.removeprefix("file://"))
+    path = W.qualified(spark, path)
+    with open(path.removeprefix("file://") + "/a.warc.gz", "wb") as file:
+        file.write(data)
+    manifest = stage.put(spark.createDataFrame([(path + "/a.warc.gz", len(data))], "path string, bytes bigint"), "manifest")
+    records = stage.put(W.read_archives(manifest, split).drop("payload"), "found").transform(W.outermost, split)
+    assert sorted(r["record_id"] for r in records.collect()) == ["urn:page:0", "urn:page:1", "urn:page:2"]
+    assert [r["passed_over"] for r in W.passed_over(manifest, records).collect()] == [4]
+
+
+def test_ranges_are_dealt_by_number(spark, stage):
+    manifest = stage.put(spark.createDataFrame([("a", 5000), ("b", 10)], "path string, bytes bigint"), "manifest")
+    plan = W.read_archives(manifest, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(51)" in plan and "REPARTITION_BY_NUM" in plan
