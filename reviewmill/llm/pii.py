@@ -146,13 +146,12 @@ def base_table(docs: DataFrame) -> DataFrame:
 # --- disclosure -----------------------------------------------------------------------------------------
 
 def plain_words(text: Column) -> Column:
-    """Distinct lower-case words without outer punctuation."""
-    words = F.split(F.lower(text), r"[^\p{L}\p{N}]*[\x20\x09-\x0D][^\p{L}\p{N}]*")
-    return F.array_remove(F.array_distinct(words), "")
+    """Distinct lower-case words without outer punctuation; a word begins at a letter or digit, so runs of marks are passed once."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}](?:[^\x20\x09-\x0D]*[\p{L}\p{N}])?"), F.lit(0)))
 
 
 def _bare(word: Column) -> Column:
-    return F.regexp_replace(F.lower(word), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+    return F.regexp_replace(F.lower(word), r"^[^\p{L}\p{N}]++|(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
 
 
 def _entity(span: Column) -> Column:
@@ -177,11 +176,17 @@ def _levels(span: Column) -> Column:
     return F.array(_entity(span), F.concat_ws(":", span["kind"], F.lit("part"), part), span["kind"])
 
 
+def _evidence(words: Column) -> Column:
+    """Least hash of three neighbouring words: the same for texts that differ outside their spans in nothing, and mostly for near copies."""
+    neighbours = F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    return F.coalesce(F.array_min(neighbours), F.lit(0).cast("bigint"))
+
+
 def entity_terms(bases: DataFrame) -> DataFrame:
-    """(doc_id, copy, entities, words): per row that holds base spans, its entities at all levels and its words."""
+    """(doc_id, evidence, entities, words): per row that holds base spans, its entities at all levels and its words."""
     spans = F.concat(*[F.col(k) for k in KINDS])
     held = bases.filter("doc_id is not null and words is not null")
-    return held.select("doc_id", "copy", F.array_distinct(F.flatten(F.transform(spans, _levels))).alias("entities"), "words")
+    return held.select("doc_id", _evidence(F.col("words")).alias("evidence"), F.array_distinct(F.flatten(F.transform(spans, _levels))).alias("entities"), "words")
 
 
 def disclosing_terms(docs: DataFrame, bases: DataFrame, stage: Stage, least: int = 3, share: float = 0.9) -> DataFrame:
@@ -191,18 +196,18 @@ def disclosing_terms(docs: DataFrame, bases: DataFrame, stage: Stage, least: int
     mail domain, a network, the first digits, the kind. With N rows, of which n_e hold the entity, n_t
     the term and n_et both, a term discloses log(N n_et / (n_e n_t)) of the log(N / n_e) there is to
     disclose; it counts from ``share`` of that on. Every entity is looked at. An estimate needs ``least``
-    rows with both and two different texts, so copies of one text prove nothing. The counts cover all
+    rows with both that are no copies of each other, so a copied text proves as much as one. The counts cover all
     rows. Words
     count where they stand outside base spans, whether or not they are part of an entity's value.
     """
     told = entity_terms(bases)
-    rows = told.select("copy", "words", F.explode("entities").alias("entity"))
+    rows = told.select("evidence", "words", F.explode("entities").alias("entity"))
     holding = stage.put(rows.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= least), "entities")
     pairs = (
-        rows.join(broadcast_if_small(holding.select("entity")), "entity").select("entity", "copy", F.explode("words").alias("term"))
+        rows.join(broadcast_if_small(holding.select("entity")), "entity").select("entity", "evidence", F.explode("words").alias("term"))
         .groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("n_et"), F.min("copy").alias("one"), F.max("copy").alias("other"))
-        .filter((F.col("n_et") >= least) & (F.col("one") != F.col("other")))
+        .agg(F.count(F.lit(1)).alias("n_et"), F.count_distinct("evidence").alias("apart"))
+        .filter(F.col("apart") >= least)
     )
     pairs = stage.put(pairs.join(broadcast_if_small(holding), "entity").select("entity", "n_e", "term", "n_et"), "pairs")
     wanted = broadcast_if_small(stage.put(pairs.select("term").distinct(), "terms"))

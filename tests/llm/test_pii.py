@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -136,3 +137,25 @@ def test_names_inside_the_address_are_marked(spark, stage):
         ends = [(texts[i].index(w), texts[i].index(w) + len(w)) for w in ("Zan", "Zoltan", "Quorp")]
         assert got[i]["spans"].split(",")[1:] == [f"term:{a}:{b}" for a, b in ends]
     assert all(got[i]["n_terms"] == 0 for i in got if i >= 20)
+
+
+def test_runs_of_marks_take_linear_time(spark):
+    marks = "=" * 100_000
+    frame = spark.createDataFrame([(f"a{marks}b", marks, f"c {marks} {marks}- d", f"({marks}e")], "a string, b string, c string, d string")
+    began = time.perf_counter()
+    row = frame.select(
+        *[P.plain_words(F.col(c)).alias(c) for c in "abcd"], P._bare(F.col("a")).alias("bare"), P._bare(F.concat("a", F.lit(marks))).alias("tail")
+    ).first()
+    assert time.perf_counter() - began < 10
+    assert (row["a"], row["b"], row["c"], row["d"]) == ([f"a{marks}b"], [], ["c", "d"], ["e"])
+    assert row["bare"] == row["tail"] == f"a{marks}b"
+
+
+def test_a_copy_and_a_stranger_prove_nothing(spark, stage):
+    texts = {i: f"one{i} two{i} three{i} four{i} five{i} six{i}" for i in range(30)}
+    texts[0] = texts[1] = "we met Ofenwhen by the river at dawn, see ann@mail.org"
+    texts[2] = "quite another letter names Ofenwhen too and gives bob@mail.org instead"
+    docs = documents(spark, texts)
+    assert not any(r["n_terms"] for r in P.personal_spans(docs, stage).collect())
+    third = documents(spark, texts | {3: "a third writer heard that Ofenwhen lives there, cy@mail.org"})
+    assert {r["doc_id"] for r in P.personal_spans(third, stage).collect() if r["n_terms"]} == {0, 1, 2, 3}
