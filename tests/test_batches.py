@@ -79,3 +79,28 @@ def test_short_keyword_tables_are_not_joined(spark, stage):
     assert "Join" not in plan_of(small)
     large = KW.tag_by_keywords(docs, "k", "t", words, limit_bytes=0, stage=stage)
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+
+
+def test_cleaning_sends_a_text_to_python_once(spark, reviews, stage):
+    from reviewmill.operators.sentiment import sample_lexicon
+    from reviewmill.plans.clean import label_sentiment, prepare_reviews, score_reviews
+
+    texts = ["  GOOD app,\tbut  bad ui ", "not :) great", "", " ", "crash", "Çok GOOD İ but (bad)!!", "butter is best, But: worst??", "\x01 good but fine", "good’ ΔΣ bad"]
+    raw = reviews(*[dict(review_text=t) for t in texts], dict(review_text=None))
+    scored = score_reviews(raw, sample_lexicon(spark), stage=stage)
+    plan = plan_of(scored)
+    assert plan.count("ArrowEvalPython") == 1 and "collapsed(" not in plan and "found(" not in plan
+    steps = S.with_sentiment(prepare_reviews(raw, stage=stage), "review_key", "review_text", sample_lexicon(spark)).transform(label_sentiment)
+    assert scored.columns == steps.columns
+    assert sorted(map(str, scored.collect())) == sorted(map(str, steps.collect())) and scored.count() == len(texts)
+
+
+def test_words_are_found_by_number_where_lower_case_is_longer(spark):
+    texts = ["İİ good :) x", "good", None, "", "a :) but İ Bad", ":)good", "x:)"]
+    find = B.lexicon_words({"good": 1.9, "bad": -2.5, ":)": 2.0}, ["good"], S.PUNCTUATION, (S.CAPS_WORD, S.PLAIN_WORD))
+    rows = over(spark, texts, find)
+    assert [[(h["at"], h["bare"], h["back1"], h["next1"]) for h in r["hits"]] for r in rows] == [
+        [(1, "good", "İİ", ":)"), (2, ":)", "good", "x")], [(0, "good", "", "")], [], [],
+        [(1, ":)", "a", "but"), (4, "Bad", "İ", "")], [(0, "good", "", "")], [],
+    ]
+    assert [r["but_at"] for r in rows] == [None, None, None, None, 2, None, None]
