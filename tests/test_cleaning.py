@@ -70,6 +70,30 @@ def test_many_copies_beyond_the_broadcast_limit(spark, reviews, monkeypatch):
     assert sorted(map(str, keep_first(raw, stage=Stage(spark)).collect())) == expected
 
 
+def test_rows_without_a_copy_take_no_key(spark, reviews):
+    """Their texts are read once, for the result; the key of all others is taken of rows that may have a copy only."""
+    raw = reviews(dict(review_id="x"), dict(review_id="y"), dict(review_id=None))
+    assert "sha2" not in executed(keep_first(raw, stage=Stage(spark)).drop("review_key"))
+    twice = raw.unionByName(raw.filter("review_id = 'x'").withColumn("thumbs_up", F.lit(5)))
+    plan = executed(keep_first(twice, stage=Stage(spark)).drop("review_key"))
+    assert all("CASE WHEN" in line for line in plan.splitlines() if "sha2" in line)
+
+
+def test_rows_that_differ_in_text_only_are_no_copies(spark, reviews):
+    texts = ["a", "b", None, "a", "", "b"]
+    raw = reviews(*[dict(review_id="x", review_text=t, thumbs_up=i) for i, t in enumerate(texts)], dict(review_id=None), dict(user_name=None))
+    kept = keep_first(raw, stage=Stage(spark))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, keep_first(raw).collect())) and kept.count() == 6
+
+
+def test_cleaned_reviews_store_no_key(spark, reviews, tmp_path):
+    stage = Stage(spark, str(tmp_path))
+    clean_reviews(reviews(dict(review_text=" a\U0001f600  b"), dict(review_text="ok")), sample_lexicon(spark), stage)
+    (stored,) = tmp_path.glob("stage-*/scored_reviews-*")
+    rows = spark.read.parquet(str(stored))
+    assert "review_key" not in rows.columns and {r["review_length"] for r in rows.collect()} == {4, 2}
+
+
 def test_no_rows_to_keep(spark, reviews):
     assert keep_first(reviews({}).limit(0), stage=Stage(spark)).isEmpty()
 
