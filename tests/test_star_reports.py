@@ -237,3 +237,25 @@ def test_dimensions_from_facets_equal_those_from_reviews(spark, model):
     assert rows_of(star.dim_app_version.orderBy("version_key")) == rows_of(build.dim_app_version(cleaned, stage).orderBy("version_key"))
     assert rows_of(star.dim_date.orderBy("date")) == rows_of(build.dim_date(cleaned).orderBy("date"))
     assert build.review_facets(cleaned.unionByName(cleaned)).count() == build.review_facets(cleaned).count()
+
+
+def test_audit_counts_rows_without_a_copy_where_they_are_read(spark, reviews):
+    from reviewmill.operators.dedup import drop_unusable, keep_first
+    from reviewmill.plans.audit import dedup_counts
+
+    def sha(frame):
+        return "sha2" in frame._jdf.queryExecution().optimizedPlan().toString()
+
+    def counted(raw):
+        first = keep_first(raw)
+        return raw.count(), first.count(), drop_unusable(first).count()
+
+    copies = dict(review_id="x", user_name=None)
+    alone = reviews(dict(), dict(review_text=None), dict(rating=None), dict(review_id=None))
+    assert tuple(dedup_counts(alone).first()) == counted(alone) == (4, 4, 2) and not sha(dedup_counts(alone))
+    raw = alone.unionByName(reviews(
+        dict(copies, rating=None, thumbs_up=0), dict(copies, rating=4, thumbs_up=1), dict(copies, review_text=None), dict(copies, review_text="other"),
+        dict(copies, review_text="other"), dict(review_id=None),
+    ))
+    assert tuple(dedup_counts(raw).first()) == counted(raw)
+    assert tuple(dedup_counts(raw.limit(0)).first()) == (0, 0, 0)
