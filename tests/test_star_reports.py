@@ -259,3 +259,21 @@ def test_audit_counts_rows_without_a_copy_where_they_are_read(spark, reviews):
     ))
     assert tuple(dedup_counts(raw).first()) == counted(raw)
     assert tuple(dedup_counts(raw.limit(0)).first()) == (0, 0, 0)
+
+
+def test_a_failed_report_is_no_result(model, monkeypatch):
+    from checks import registry
+    from checks.workspace import Workspace
+
+    cleaned, star, stage = model
+    workspace = Workspace(stage, cleaned)
+    workspace.__dict__["star"] = star
+
+    def broken(star, stage):
+        raise ValueError("no")
+
+    monkeypatch.setitem(REPORTS, "q7_reply_split", broken)
+    with pytest.raises(RuntimeError, match="q7_reply_split: ValueError: no"):
+        registry._report_files(workspace)
+    monkeypatch.undo()
+    assert {r["report"] for r in rows_of(registry._report_files(workspace))} == set(REPORTS)
