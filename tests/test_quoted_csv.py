@@ -100,3 +100,16 @@ def test_reading_is_spread_over_tasks(spark, stage, tmp_path, small_ranges):
     parts = Q._with_start(lines := Q.ranges_of_lines(spark, str(tmp_path)), Q.range_starts(lines, stage), 1 << 20)
     assert parts.rdd.getNumPartitions() > 10
     assert "Exchange hash" not in parts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_that_are_not_stored(spark, stage, tmp_path, small_ranges):
+    from reviewmill import Stage
+
+    (tmp_path / "csv").mkdir()
+    write(tmp_path / "csv" / "a.csv", made_rows(3))
+    small_ranges(150)
+    kept = readers.read_csv(spark, str(tmp_path / "csv"), COLUMNS, stage=stage, keep_order=True)
+    read = readers.read_csv(spark, str(tmp_path / "csv"), COLUMNS, stage=Stage(spark, str(tmp_path)), keep_order=True, stored=False)
+    assert sorted(map(str, read.collect())) == sorted(map(str, kept.collect())) and read.count() == 26
+    stored = [p.name.rsplit("-", 1)[0] for p in tmp_path.glob("stage-*/*")]
+    assert "csv_fragments" in stored and "csv_records" not in stored
