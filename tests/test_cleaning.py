@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from reviewmill.functions import dates as D
@@ -176,3 +177,40 @@ def test_no_python_workers_in_the_plan(spark, reviews, stage):
     cleaned = clean_reviews(reviews({}), sample_lexicon(spark), stage)
     plan = cleaned._jdf.queryExecution().toString()
     assert "Python" not in plan
+
+
+def stored_columns(folder):
+    """The columns of every table below a stage's folder."""
+    import pyarrow.parquet as pq
+
+    return {f.parent.name: pq.read_schema(f).names for f in folder.glob("stage-*/*/*.parquet")}
+
+
+@pytest.mark.parametrize("in_place", [True, False])
+def test_reviews_cleaned_where_they_are_read_equal_stored_ones(spark, reviews, stage, tmp_path, monkeypatch, in_place):
+    from reviewmill.operators import sentiment
+
+    if not in_place:
+        monkeypatch.setattr(sentiment, "IN_PLACE_TERMS", 1)
+    rows = [dict(review_text=t, app_version=v) for t in (" good  app", "bad", None, "crash\n", "") for v in ("1", "2", None)]
+    raw = reviews(*rows, dict(review_id="x", thumbs_up=2), dict(review_id="x", thumbs_up=1), dict(review_id="n", rating=None))
+    read = clean_reviews(raw, sample_lexicon(spark), Stage(spark, str(tmp_path)), store=False)
+    kept = clean_reviews(raw, sample_lexicon(spark), stage)
+    assert read.dtypes == kept.dtypes and sorted(map(str, read.collect())) == sorted(map(str, kept.collect()))
+    assert not any("review_text" in columns for columns in stored_columns(tmp_path).values())
+
+
+def test_columns_of_no_text_take_no_python_worker(spark, reviews, stage):
+    cleaned = clean_reviews(reviews({}, {}), sample_lexicon(spark), stage, store=False)
+    assert "Python" in executed(cleaned) and "Python" not in executed(cleaned.select("app_name", "is_post_release_window"))
+
+
+def test_rows_without_a_copy_stay_out_of_a_large_look_up(spark, reviews, tmp_path, monkeypatch):
+    raw = reviews(*[dict(review_id=f"r{max(i, 4)}", thumbs_up=i) for i in range(60)], dict(review_id=None))
+    expected = sorted(map(str, keep_first(raw).collect()))
+    monkeypatch.setattr(dedup, "look_up", lambda *a, **k: look_up(*a, **k, limit_bytes=0))
+    monkeypatch.setattr(dedup, "BROADCAST_BYTES", 0)
+    kept = keep_first(raw, stage=Stage(spark, str(tmp_path)))
+    assert sorted(map(str, kept.collect())) == expected
+    (stored,) = tmp_path.glob("stage-*/to_look_up-*")
+    assert 5 <= spark.read.parquet(str(stored)).count() < 30
