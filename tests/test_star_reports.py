@@ -277,3 +277,27 @@ def test_a_failed_report_is_no_result(model, monkeypatch):
         registry._report_files(workspace)
     monkeypatch.undo()
     assert {r["report"] for r in rows_of(registry._report_files(workspace))} == set(REPORTS)
+
+
+def test_the_star_stores_no_text(spark, model, reviews, tmp_path):
+    from reviewmill import Stage
+    from tests.test_cleaning import stored_columns
+
+    cleaned, star, _ = model
+    again = build_star(cleaned, Stage(spark, str(tmp_path)))
+    assert not any("review_text" in columns for columns in stored_columns(tmp_path).values())
+    assert again.fact_reviews.columns[:4] == ["review_id", "user_name", "rating", "review_text"]
+    without = again.fact_reviews.drop("review_text")
+    assert sorted(map(str, without.collect())) == sorted(map(str, again.facts.select(*without.columns).collect()))
+    assert rows_of(again.fact_reviews.select("review_id", "review_text").orderBy("review_id")) == rows_of(cleaned.select("review_id", "review_text").orderBy("review_id"))
+    assert list(tmp_path.glob("stage-*/fact_reviews-*/review_month=2026-01"))
+
+
+def test_queries_of_no_text_store_none(spark, reviews, tmp_path):
+    from checks.workspace import Workspace
+    from reviewmill import Stage
+    from tests.test_cleaning import stored_columns
+
+    workspace = Workspace(Stage(spark, str(tmp_path)), reviews(*sample_rows()))
+    assert workspace.cleaned.groupBy("issue_category").count().count() == workspace.star.facts.select("issue_key").distinct().count()
+    assert not any("review_text" in columns for columns in stored_columns(tmp_path).values())
